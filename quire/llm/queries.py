@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.functions.cluster import read
-from quire.llm import lookalike, mixing, splitting, tokens
+from quire.llm import lookalike, mixing, parsing, splitting, tokens, truncation
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -19,6 +19,26 @@ def p2_text_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.text_pieces(read(spark, d, "documents"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return parsing.found(read(spark, d, "source_file"))
+
+
+def p5_files(spark: SparkSession, d: str) -> DataFrame:
+    return parsing.parsed(read(spark, d, "source_file"))
+
+
+def p5_rates(spark: SparkSession, d: str) -> DataFrame:
+    return parsing.rates(read(spark, d, "source_file"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.found(read(spark, d, "source_file"), read(spark, d, "filter_test_result"))
+
+
+def p6_rates(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.source_rates(read(spark, d, "source_file"), read(spark, d, "filter_test_result"))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.token_ids(read(spark, d, "documents"))
 
@@ -47,7 +67,7 @@ def p9_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_text_pieces, p7_ids, p8_mix, p8_shares, p9_found, p9_text)}
+    return {f.__name__: f for f in (p2_found, p2_text_pieces, p5_found, p5_files, p5_rates, p6_found, p6_rates, p7_ids, p8_mix, p8_shares, p9_found, p9_text)}
 
 
 P2_FOUND = """
