@@ -73,14 +73,17 @@ def _records(files: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def limits(records: DataFrame) -> DataFrame:
-    """(tbl, source, unit, at): the lengths at which a source cuts."""
+    """(tbl, source, unit, at): the length at which a source cuts, in the unit in which more values stand at it (cut at
+    characters, a few values may also share the greatest number of bytes, and the other way round)."""
     units = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("n")), F.struct(F.lit("bytes").alias("unit"), F.col("bytes").alias("n"))))
     hist = records.select("tbl", "source", units.alias("u")).where("u.n > 0").groupBy("tbl", "source", "u.unit", "u.n").agg(F.count("*").alias("rows"))
     top = hist.groupBy("tbl", "source", "unit").agg(F.max("n").alias("at"), F.max_by("rows", "n").alias("rows_at"))
     below = hist.join(top, ["tbl", "source", "unit"]).where("n < at and n >= at / 2").groupBy("tbl", "source", "unit").agg(F.sum("rows").alias("rows_below"))
     top = top.join(below, ["tbl", "source", "unit"], "left")
     usual = F.coalesce("rows_below", F.lit(0)) / F.greatest(F.col("at") / 2, F.lit(1.0))
-    return top.where((F.col("rows_at") >= SPIKE_ROWS) & (F.col("rows_at") >= SPIKE_RATIO * usual)).select("tbl", "source", "unit", "at")
+    top = top.where((F.col("rows_at") >= SPIKE_ROWS) & (F.col("rows_at") >= SPIKE_RATIO * usual))
+    best = top.groupBy("tbl", "source").agg(F.max(F.struct("rows_at", "unit", "at")).alias("b"))
+    return best.select("tbl", "source", "b.unit", "b.at")
 
 
 def _ending(last: Column, form: Column) -> Column:
