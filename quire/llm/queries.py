@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.functions.cluster import read
-from quire.llm import lookalike, mixing, parsing, splitting, tokens, truncation
+from quire.llm import lookalike, mixing, ocr, parsing, splitting, tokens, truncation
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -19,6 +19,18 @@ def p2_text_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.text_pieces(read(spark, d, "documents"))
 
 
+def _repair(spark: SparkSession, d: str) -> ocr.Repair:
+    return ocr.Repair(read(spark, d, "ocr_page"), read(spark, d, "toc_section"), read(spark, d, "chapter_range"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _repair(spark, d).found()
+
+
+def p3_text(spark: SparkSession, d: str) -> DataFrame:
+    return _repair(spark, d).texts()
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return parsing.found(read(spark, d, "source_file"))
 
@@ -67,7 +79,7 @@ def p9_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_text_pieces, p5_found, p5_files, p5_rates, p6_found, p6_rates, p7_ids, p8_mix, p8_shares, p9_found, p9_text)}
+    return {f.__name__: f for f in (p2_found, p2_text_pieces, p3_found, p3_text, p5_found, p5_files, p5_rates, p6_found, p6_rates, p7_ids, p8_mix, p8_shares, p9_found, p9_text)}
 
 
 P2_FOUND = """
