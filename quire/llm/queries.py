@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.functions.cluster import read
-from quire.llm import lookalike, mixing, ocr, parsing, splitting, tokens, truncation
+from quire.llm import lookalike, mixing, ocr, parsing, spans, splitting, tokens, truncation
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -31,6 +31,15 @@ def p3_text(spark: SparkSession, d: str) -> DataFrame:
     return _repair(spark, d).texts()
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = spans.Shared(read(spark, d, "source_file")).pairs()
+    return pairs.withColumnsRenamed({"a": "file_id_a", "b": "file_id_b"})
+
+
+def p4_portions(spark: SparkSession, d: str) -> DataFrame:
+    return spans.Shared(read(spark, d, "source_file")).portions()
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return parsing.found(read(spark, d, "source_file"))
 
@@ -79,7 +88,7 @@ def p9_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_text_pieces, p3_found, p3_text, p5_found, p5_files, p5_rates, p6_found, p6_rates, p7_ids, p8_mix, p8_shares, p9_found, p9_text)}
+    return {f.__name__: f for f in (p2_found, p2_text_pieces, p3_found, p3_text, p4_found, p4_portions, p5_found, p5_files, p5_rates, p6_found, p6_rates, p7_ids, p8_mix, p8_shares, p9_found, p9_text)}
 
 
 P2_FOUND = """
