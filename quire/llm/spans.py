@@ -110,7 +110,7 @@ class Parsed:
             sym, start, text = s, st, text[at]
             # pairs of a left and a right symbol
             size = np.diff(start, append=n)
-            side = (mix(sym + np.uint64(r + 1) * np.uint64(0xA0761D6478BD642F)) & np.uint64(1)).astype(bool)
+            side = (mix(sym + np.uint64((r + 1) * 0xA0761D6478BD642F & (1 << 64) - 1)) & np.uint64(1)).astype(bool)
             free = size < STOP
             join = np.zeros(len(sym), bool)
             join[:-1] = side[:-1] & ~side[1:] & free[:-1] & free[1:] & (text[1:] == text[:-1])
