@@ -59,7 +59,7 @@ def overlaps(ranges: DataFrame, key: str, ident: str, start: str, end: str, bloc
 
 def first_line(text: Column) -> Column:
     """First line with anything on it, stripped."""
-    return F.element_at(F.filter(F.transform(lines(text), stripped), lambda x: x != ""), 1)
+    return F.try_element_at(F.filter(F.transform(lines(text), stripped), lambda x: x != ""), F.lit(1))
 
 
 def page_text(pages: DataFrame, key: str, page: str, text: str, header: bool = True, first: int | None = None) -> DataFrame:
