@@ -86,7 +86,7 @@ def _broken(c: Column) -> Column:
     """Carrier: sound LaTeX with the damage that the rules repair, put in by fixed replacements."""
     for a, b in (
         (r"\\(begin|end)\{remark\}", r"\\$1{boxed}"), (r"\\(begin|end)\{example\}", r"\\$1{defbox}"), (r"Let \$([^$]+)\$", r"Let \\boxed{\$$1\$}"),
-        (r"(?s)\\\[\n(.*?)\n\\\]", r"\\boxed{\\[\n$1\n\\]}"), (r"\\partial_\{([a-z])\}", r"\\frac{partial}{partial $1}"), (r"\\end\{proof\}", "\\\\hfill\\$\\\\blacksquare\\$\n\\\\qed\n\\\\end{proof}"),
+        (r"(?s)\\\[\n(.*?)\n\\\]", "\\\\boxed{\\\\[\n$1\n\\\\]}"), (r"\\partial_\{([a-z])\}", r"\\frac{partial}{partial $1}"), (r"\\end\{proof\}", "\\\\hfill\\$\\\\blacksquare\\$\n\\\\qed\n\\\\end{proof}"),
         (r"\\mathbb\{R\}", r"\\bold{R}"), (r"([a-z])\^\{([0-9])([0-9])\}", r"$1^$2^$3"), (r"([a-z])_\{([0-9])([0-9])\}", r"$1_$2_$3"), (r"\\sqrt", "\f\\\\sqrt"),
     ):
         c = F.regexp_replace(c, a, b)
