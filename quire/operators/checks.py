@@ -101,7 +101,7 @@ def balance_violations(files: DataFrame) -> DataFrame:
     leaves the stack as it is; display mathematics are counted apart, underflow resets the count. The fold runs over a
     chapter's tokens in one row: only tokens are gathered, a chapter's own size bounds them."""
     per = files.where("book is not null and chapter is not null").select(
-        "book", "chapter", F.struct(pages_header(F.col("content")).alias("p"), F.col("stem").alias("name"), balance_tokens(F.col("content")).alias("toks")).alias("f")
+        "book", "chapter", F.struct(pages_header(F.col("content")).alias("p"), F.col("stem").alias("name"), F.coalesce(balance_tokens(F.col("content")), F.array().cast("array<string>")).alias("toks")).alias("f")
     )
     per = per.groupBy("book", "chapter").agg(F.sort_array(F.collect_list("f")).alias("fs"))
     toks = F.flatten(F.transform("fs", lambda f: F.transform(f["toks"], lambda t: F.struct(f["name"].alias("name"), t.alias("t")))))
