@@ -45,7 +45,7 @@ def rates(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     both = both.withColumn("__share", F.when(usable, F.col("target_share")))
     both = both.withColumn("__share", F.col("__share") / F.sum("__share").over(w))
     size = F.min(F.col("max_repeats") * F.col("source_tokens") / F.col("__share")).over(w)
-    both = both.withColumn("rate", F.least(F.col("__share") * size / F.col("source_tokens"), F.col("max_repeats").cast("double")))
+    both = both.withColumn("rate", F.when(F.col("__share").isNotNull(), F.least(F.col("__share") * size / F.col("source_tokens"), F.col("max_repeats").cast("double"))))
     return both.select("mix_name", "source", "target_share", "max_repeats", F.coalesce("source_tokens", F.lit(0)).alias("source_tokens"), "rate")
 
 

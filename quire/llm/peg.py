@@ -386,9 +386,9 @@ PYTHON = Packrat(
 file <- statement* ~END~
 statement <- compound / simple
 simple <- small (';' small)* ';'? ~NEWLINE~
-small <- 'pass' / 'break' / 'continue' / 'return' exprs? / 'raise' (expr ('from' expr)?)? / import / 'del' targets / 'assert' expr (',' expr)? / 'global' ~NAME~ (',' ~NAME~)* / 'nonlocal' ~NAME~ (',' ~NAME~)* / alias / assignment / yield / exprs
+small <- 'pass' / 'break' / 'continue' / 'return' results? / 'raise' (expr ('from' expr)?)? / import / 'del' targets / 'assert' expr (',' expr)? / 'global' ~NAME~ (',' ~NAME~)* / 'nonlocal' ~NAME~ (',' ~NAME~)* / alias / assignment / yield / results
 alias <- 'type' ~NAME~ typeparams? '=' expr
-assignment <- target ':' expr ('=' (yield / exprs))? / (targets '=')+ (yield / exprs) !'=' / target augmented (yield / exprs)
+assignment <- target ':' expr ('=' (yield / results))? / (targets '=')+ (yield / results) !'=' / target augmented (yield / results)
 augmented <- '+=' / '-=' / '*=' / '/=' / '//=' / '%=' / '**=' / '&=' / '|=' / '^=' / '<<=' / '>>=' / '@='
 targets <- starget (',' starget)* ','?
 starget <- '*' target / target
@@ -403,9 +403,9 @@ block <- ~NEWLINE~ ~INDENT~ statement+ ~DEDENT~ / simple
 if <- 'if' named ':' block ('elif' named ':' block)* else?
 else <- 'else' ':' block
 while <- 'while' named ':' block else?
-for <- 'for' targets 'in' exprs ':' block else?
+for <- 'for' targets 'in' results ':' block else?
 try <- 'try' ':' block (except+ else? finally? / finally)
-except <- 'except' '*'? (exprs ('as' ~NAME~)?)? ':' block
+except <- 'except' '*'? (results ('as' ~NAME~)?)? ':' block
 finally <- 'finally' ':' block
 with <- 'with' ('(' withitem (',' withitem)* ','? ')' ':' / withitem (',' withitem)* ':') block
 withitem <- expr ('as' starget)?
@@ -424,6 +424,8 @@ orpattern <- closed ('|' closed)*
 closed <- '-'? ~NUMBER~ (('+' / '-') ~NUMBER~)? / ~STRING~+ / 'None' / 'True' / 'False' / dotted ('(' (argpattern (',' argpattern)* ','?)? ')')? / '(' patterns? ')' / '[' patterns? ']' / '{' (mappattern (',' mappattern)* ','?)? '}'
 argpattern <- ~NAME~ '=' pattern / pattern
 mappattern <- '**' ~NAME~ / closed ':' pattern
+results <- result (',' result)* ','?
+result <- '*' arith / expr !':='
 exprs <- sexpr (',' sexpr)* ','?
 sexpr <- '*' arith / named
 named <- ~NAME~ ':=' expr / expr !':='
@@ -446,7 +448,7 @@ posarg <- '*' expr / ~NAME~ ':=' expr / expr !'=' comp?
 kwargs <- kwarg (',' kwarg)*
 kwarg <- ~NAME~ '=' expr / '**' expr / '*' expr
 comp <- ('async'? 'for' targets 'in' bool ('if' (lambda / bool))*)+
-yield <- 'yield' ('from' expr / exprs)?
+yield <- 'yield' ('from' expr / results)?
 atom <- ~NAME~ / ~NUMBER~ / ~STRING~+ / 'None' / 'True' / 'False' / '...' / '(' (yield / sexpr comp / exprs)? ')' / '[' (sexpr comp / exprs)? ']' / '{' (entry (comp / (',' entry)* ','?) / sexpr comp / exprs)? '}'
 entry <- '**' arith / expr ':' expr
 """,

@@ -9,7 +9,7 @@ as they are, which bounds what the ends of a substring can lose.
 High-level symbols are named stretches of consecutive interior symbols of at least ``HIGH`` characters; of their starts
 the least-named of every ``EVERY`` neighbours are kept. Texts that share a high-level symbol are verified and extended
 character by character. Runs of ``RUN`` characters and more, whose length differs with their place, have symbols of
-their own at either end.
+their own at either end and at steps between.
 
 Nothing is collected by group without a bound: symbols that stand in one text only are dropped by an aggregate, groups of
 up to ``GROUP`` occurrences are paired, and for larger groups the exact substrings of ``span`` characters around the
@@ -34,7 +34,7 @@ from quire.functions.cluster import cut, latest, spread
 
 SPAN = 200
 STOP, ROUNDS = 8, 5
-HIGH, EVERY, RUN = 80, 6, 64
+HIGH, EVERY, RUN, EVERY_RUN = 80, 6, 64, 96
 GROUP = 64
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -105,7 +105,7 @@ class Parsed:
                 whole = np.diff(st, append=n)
                 big = many & (whole >= RUN)
                 if big.any():
-                    long_runs.append(np.stack([st[big], st[big] + whole[big], s[big].view(np.int64)], 1))
+                    long_runs.append(np.stack([st[big], st[big] + whole[big], s[big].view(np.int64), whole[big] // times[big]], 1))
                 s = np.where(many, mix(s + times.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), s)
             sym, start, text = s, st, text[at]
             # pairs of a left and a right symbol
@@ -122,7 +122,7 @@ class Parsed:
             keep = ~right
             sym, start, text = sym[keep], start[keep], text[keep]
         self.sym, self.start, self.text = sym, start, text
-        self.runs = np.concatenate(long_runs) if long_runs else np.zeros((0, 3), np.int64)
+        self.runs = np.concatenate(long_runs) if long_runs else np.zeros((0, 4), np.int64)
 
     def high(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(name, text, position in the text) of the high-level symbols."""
@@ -145,10 +145,16 @@ class Parsed:
             at = np.flatnonzero(chosen & ok)
             parts.append((self.name(self.start[at], stop[at]), self.text[at], self.start[at]))
         if len(self.runs):
-            a, b, base = self.runs[:, 0], self.runs[:, 1], self.runs[:, 2].view(np.uint64)
+            # two runs of one symbol may meet at any shift by whole periods: both ends, one period inside them, and every
+            # EVERY_RUN characters give seeds whose shifts cover all that the runs share
+            a, b, base, period = self.runs[:, 0], self.runs[:, 1], self.runs[:, 2].view(np.uint64), self.runs[:, 3]
+            step = period * np.maximum(1, EVERY_RUN // period)
+            count = np.maximum(1, (b - a - 1) // step + 1)
+            k = np.repeat(np.arange(len(a)), count)
+            inner = a[k] + (np.arange(len(k)) - np.repeat(np.cumsum(count) - count, count)) * step[k]
             owner = np.searchsorted(self.begins, a, side="right") - 1
-            parts.append((mix(base ^ np.uint64(0x1D8E4E27C47D124F)), owner, a))
-            parts.append((mix(base ^ np.uint64(0x5851F42D4C957F2D)), owner, b - 1))
+            left, right = mix(base ^ np.uint64(0x1D8E4E27C47D124F)), mix(base ^ np.uint64(0x5851F42D4C957F2D))
+            parts += [(left[k], owner[k], inner), (left, owner, a + period), (right, owner, b - 1), (right, owner, b - 1 - period)]
         if not parts:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         names, owners, at = (np.concatenate([p[i] for p in parts]) for i in range(3))
