@@ -32,6 +32,21 @@ def captions(df: DataFrame, text: str, style: str) -> DataFrame:
     return out.select("*", parts[0].try_cast("int").alias("chapter"), F.concat_ws(".", *parts).alias("fig_id")).drop("__g")
 
 
+def first_caption(text: Column, style: str) -> Column:
+    """Id of the first caption in a block's text; null if there is none."""
+    pattern, n = STYLES[style]
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    parts = [F.regexp_extract(F.try_element_at(found, F.lit(1)), pattern.replace(r"(?!\.\d)", "").replace(r"(?![\d]|\.\d)", ""), i + 1) for i in range(n)]
+    ident = F.concat(F.upper(parts[0]), F.lit("-"), parts[1]) if style == "roman" else F.concat_ws(".", *parts)
+    return F.when(F.size(found) > 0, ident)
+
+
+def captions_in_boxes(boxes: DataFrame, style: str, dpi: float = 150.0) -> DataFrame:
+    """Captions in recognised boxes (text, bbox of four corners): ``boxes`` with fig_id and the caption's top in points."""
+    out = boxes.withColumn("fig_id", first_caption(F.col("text"), style)).where("fig_id is not null")
+    return out.withColumn("caption_y", F.col("bbox")[0][1] / F.lit(dpi / 72))
+
+
 def image_path(chapter: Column, fig_id: Column) -> Column:
     """``figures/chNN/fig_<id>.png`` with ``.`` and ``-`` of the id as ``_``."""
     return F.concat(F.lit("figures/ch"), F.lpad(chapter.cast("string"), 2, "0"), F.lit("/fig_"), F.translate(fig_id, ".-", "__"), F.lit(".png"))

@@ -96,3 +96,12 @@ def errors(lines: DataFrame, root: str | None = None) -> DataFrame:
     )
     first = F.row_number().over(Window.partitionBy("log_id", "file", "line", "message").orderBy("line_no"))
     return rows.withColumn("__n", first).where("__n = 1").drop("__n")
+
+
+def errors_of_all(runs: DataFrame, lines: DataFrame, root: str | None = None) -> DataFrame:
+    """Errors of every run in ``runs`` (log_id); a run that left no log at all has one error that says so."""
+    found = errors(lines, root)
+    none = runs.select("log_id").distinct().join(lines.select("log_id").distinct(), "log_id", "left_anti")
+    kinds = dict(found.dtypes)
+    gone = none.select("log_id", *[(F.lit("no log was written") if c == "message" else F.lit(None)).cast(kinds[c]).alias(c) for c in found.columns if c != "log_id"])
+    return found.unionByName(gone)

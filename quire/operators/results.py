@@ -43,3 +43,14 @@ def summary(results: DataFrame, groups: list[str]) -> DataFrame:
 def appended(history: DataFrame, new: DataFrame) -> DataFrame:
     """New results after the history, columns matched by name."""
     return history.unionByName(new, allowMissingColumns=True)
+
+
+def selected(results: DataFrame, suite: str | None = None) -> DataFrame:
+    """The results of one suite, or of all."""
+    return results if suite is None else results.where(F.col("suite") == suite)
+
+
+def first_present(candidates: DataFrame, keys: list[str], preference: list[str], path: str = "rel_path") -> DataFrame:
+    """For each key the most preferred path that is present."""
+    rank = F.array_position(F.array(*map(F.lit, preference)), F.col(path))
+    return candidates.where(rank > 0).groupBy(*keys).agg(F.min_by(path, rank).alias(path))

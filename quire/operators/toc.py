@@ -70,6 +70,22 @@ def page_text(pages: DataFrame, key: str, page: str, text: str, header: bool = T
     return got.select(key, F.array_join(F.transform("ps", lambda x: x["t"]), "\n\n").alias("text"))
 
 
+def span_text(pages: DataFrame, spans: DataFrame, key: str, page: str, text: str) -> DataFrame:
+    """(key, start_page, end_page, text): the pages of each span, both ends included, beyond the last page nothing. Spans
+    meet pages by an equi-join on their page numbers."""
+    s = spans.where("start_page <= end_page").select(key, "start_page", "end_page", F.explode(F.sequence("start_page", "end_page")).alias(page))
+    piece = F.concat(F.lit("--- Page "), F.col(page).cast("string"), F.lit(" ---\n"), F.coalesce(text, F.lit("")))
+    got = s.join(pages.select(key, page, text), [key, page]).groupBy(key, "start_page", "end_page").agg(F.sort_array(F.collect_list(F.struct(F.col(page).alias("p"), piece.alias("t")))).alias("ps"))
+    return got.select(key, "start_page", "end_page", F.array_join(F.transform("ps", lambda x: x["t"]), "\n\n").alias("text"))
+
+
+def printed_dump(pages: DataFrame, key: str, page: str, text: str, offset: int) -> DataFrame:
+    """(key, text): all pages in order, each under its PDF page and printed page (PDF page less ``offset``)."""
+    piece = F.concat(F.format_string("=== PDF page %d, printed page %d ===\n", F.col(page), F.col(page) - offset), F.coalesce(text, F.lit("")))
+    got = pages.where(F.col(page).isNotNull()).groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col(page).alias("p"), piece.alias("t")))).alias("ps"))
+    return got.select(key, F.array_join(F.transform("ps", lambda x: x["t"]), "\n").alias("text"))
+
+
 FILE_MARK = r"%%%\s*FILE:\s*(sec\d+_\d+\.tex)\s*%%%"
 
 

@@ -378,3 +378,19 @@ SQL["results_summary"] = _RES + """ SELECT suite, model, count(*) AS tests, coun
     round(avg(latency_ms), 3) AS mean_latency_ms, 2 - grouping(suite) - grouping(model) AS level FROM r GROUP BY ROLLUP (suite, model)"""
 SQL["result_errors"] = _RES + """ SELECT result_id, CASE WHEN coalesce(error_message, '') = '' THEN NULL WHEN contains(lower(error_message), 'content filtering policy') OR contains(lower(error_message), 'output blocked') THEN 'blocked'
     WHEN regexp_matches(error_message, '429|rate_limit|529|overloaded') THEN 'retry' ELSE 'error' END AS error_class, coalesce(contains(test_name, 'metadata') OR contains(test_name, 'title'), false) AS holds_metadata FROM r"""
+
+SQL["progress_shares"] = f"""WITH {_RANGES}, r AS (SELECT DISTINCT book, chapter, title, start_page, end_page, EXISTS (SELECT 1 FROM source_file s WHERE s.suffix = 'tex' AND s.stem LIKE 'sec%' AND s.book = x.book AND s.chapter = x.chapter) AS done
+        FROM ranges x WHERE start_page IS NOT NULL AND end_page IS NOT NULL)
+    SELECT book, count(*) AS items, count(*) FILTER (done) AS done, 1 - grouping(book) AS level, round(count(*) FILTER (done) / count(*), 6) AS share FROM r GROUP BY ROLLUP (book)"""
+SQL["chapter_page_text"] = f"""WITH {_PAGES}, {_RANGES}, s AS (SELECT DISTINCT 'pdfs/' || book || '.pdf' AS pdf, start_page, end_page FROM ranges WHERE start_page <= end_page),
+    t AS (SELECT s.pdf, s.start_page, s.end_page, string_agg('--- Page ' || page_num || ' ---' || chr(10) || coalesce(text, ''), chr(10) || chr(10) ORDER BY page_num, coalesce(text, '')) AS t
+        FROM s JOIN pages p ON p.pdf = s.pdf AND p.page_num BETWEEN s.start_page AND s.end_page GROUP BY ALL)
+    SELECT pdf, start_page, end_page, CAST(length(t) AS BIGINT) AS chars, md5(t) AS text_md5 FROM t"""
+SQL["printed_pages"] = f"""WITH {_PAGES}, t AS (SELECT pdf, string_agg('=== PDF page ' || page_num || ', printed page ' || (page_num - 11) || ' ===' || chr(10) || coalesce(text, ''), chr(10) ORDER BY page_num, coalesce(text, '')) AS t
+    FROM pages WHERE pdf IS NOT NULL AND page_num IS NOT NULL GROUP BY pdf) SELECT pdf, CAST(length(t) AS BIGINT) AS chars, md5(t) AS text_md5 FROM t"""
+SQL["log_errors_of_all"] = _LOG + """, none AS (SELECT DISTINCT c_custkey AS log_id FROM customer WHERE c_custkey NOT IN (SELECT log_id FROM lines)),
+    all_ AS (SELECT log_id, false AS no_log FROM errors UNION ALL SELECT log_id, true FROM none)
+    SELECT no_log, count(*) AS errors, count(DISTINCT log_id) AS logs FROM all_ GROUP BY no_log"""
+SQL["first_captions"] = _PARTS + """ SELECT 'two-part' AS style, page, a || '.' || b AS fig_id, round(page % 900 / (150.0 / 72), 6) AS caption_y FROM t
+    UNION ALL SELECT 'three-part', page, c || '.' || e || '.' || f, round(page % 900 / (150.0 / 72), 6) FROM t
+    UNION ALL SELECT 'roman', page, r || '-' || g, round(page % 900 / (150.0 / 72), 6) FROM t WHERE r <> 'V'"""

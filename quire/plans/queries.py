@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.cluster import latest, read
 from quire.functions.text import slug
-from quire.operators import checks, figures, identity, inventory, logs, results, rewrite, schema_drift, toc
+from quire.operators import checks, figures, identity, inventory, logs, progress, results, rewrite, schema_drift, toc
 from quire.sources import readers, writers
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -329,6 +329,29 @@ def written_progress(spark: SparkSession, d: str) -> DataFrame:
     return writers.progress_table(r.join(done, ["book", "chapter"], "left").select("book", "chapter", "title", "start_page", "end_page", F.coalesce("d", F.lit(False)).alias("done")))
 
 
+@query
+def progress_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The written progress tables read again: done chapters per book and in all."""
+    rows = progress.table_rows(written_progress(spark, d), ["book"], "text").where("cells[0] <> 'Chapter'")
+    return progress.roll_up(rows.select("book", (F.element_at("cells", -1) == "[x]").alias("done")), ["book"])
+
+
+@query
+def chapter_page_text(spark: SparkSession, d: str) -> DataFrame:
+    """The scanned text of every chapter's pages."""
+    p = latest(read(spark, d, "ocr_page").where("pdf is not null and page_num is not null").select("ocr_id", "pdf", "page_num", "text", "loaded_at"), ["ocr_id"], "loaded_at")
+    spans = _ranges(spark, d).where("start_page is not null and end_page is not null").select(F.concat(F.lit("pdfs/"), F.col("book"), F.lit(".pdf")).alias("pdf"), "start_page", "end_page").distinct()
+    t = toc.span_text(p, spans, "pdf", "page_num", "text")
+    return t.select("pdf", "start_page", "end_page", F.length("text").cast("bigint").alias("chars"), F.md5("text").alias("text_md5"))
+
+
+@query
+def printed_pages(spark: SparkSession, d: str) -> DataFrame:
+    p = latest(read(spark, d, "ocr_page").where("pdf is not null").select("ocr_id", "pdf", "page_num", "text", "loaded_at"), ["ocr_id"], "loaded_at")
+    t = toc.printed_dump(p, "pdf", "page_num", "text", 11)
+    return t.select("pdf", F.length("text").cast("bigint").alias("chars"), F.md5("text").alias("text_md5"))
+
+
 # --- logs -----------------------------------------------------------------------------------------------------------------
 def _log_lines(spark: SparkSession, d: str) -> DataFrame:
     """Carrier: each user's events as a typesetting log."""
@@ -349,6 +372,13 @@ def log_errors(spark: SparkSession, d: str) -> DataFrame:
     return logs.errors(_log_lines(spark, d))
 
 
+@query
+def log_errors_of_all(spark: SparkSession, d: str) -> DataFrame:
+    """Carrier: customers as runs; those without events left no log."""
+    e = logs.errors_of_all(read(spark, d, "customer").select(F.col("c_custkey").alias("log_id")), _log_lines(spark, d))
+    return e.groupBy((F.col("message") == "no log was written").alias("no_log")).agg(F.count("*").alias("errors"), F.countDistinct("log_id").alias("logs"))
+
+
 @query
 def log_error_files(spark: SparkSession, d: str) -> DataFrame:
     """Distinct files named in errors, the ten most frequent first, with how many errors are beyond them."""
@@ -391,6 +421,15 @@ def captions_found(spark: SparkSession, d: str) -> DataFrame:
     return out.select("style", "page", "ord", "chapter", "fig_id", figures.image_path(F.col("chapter"), F.col("fig_id")).alias("path"))
 
 
+@query
+def first_captions(spark: SparkSession, d: str) -> DataFrame:
+    """Carrier: each part's text as the only box of a page scanned at 150 dots an inch."""
+    k = F.col("page").cast("double")
+    boxes = _caption_text(spark, d).withColumn("bbox", F.array(F.array(F.lit(0.0), k % 900), F.array(F.lit(9.0), k % 900), F.array(F.lit(9.0), k % 900 + 20), F.array(F.lit(0.0), k % 900 + 20)))
+    parts = [figures.captions_in_boxes(boxes, s).select(F.lit(s).alias("style"), "page", "fig_id", F.round("caption_y", 6).alias("caption_y")) for s in ("two-part", "three-part", "roman")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def figures_first(spark: SparkSession, d: str) -> DataFrame:
     f = figures.captions(_caption_text(spark, d), "text", "three-part")

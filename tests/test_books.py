@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from quire.functions.text import plain_name, slug, utf8_text
-from quire.operators import figures, identity, results, toc
+from quire.operators import figures, identity, progress, results, toc
 from quire.sources import readers, writers
 
 
@@ -93,6 +93,46 @@ def test_captions(spark):
     assert ids("roman") == [(1, "I-3"), (2, "II-15a")]
 
 
+def test_first_caption(spark):
+    for text, style, expected in (("see figure 3.12.1", "two-part", "3.1"), ("x", "two-part", None), ("figure ii–15a", "roman", "II-15a"), ("Figure 1.2.3 Figure 4.5.6", "three-part", "1.2.3"), (None, "roman", None)):
+        assert one(spark, text, "string", lambda c, s=style: figures.first_caption(c, s)) == expected
+    boxes = spark.createDataFrame([("Figure 2.3", [[0.0, 150.0], [1.0, 150.0]]), ("none", [[0.0, 1.0]])], "text string, bbox array<array<double>>")
+    assert [(r.fig_id, r.caption_y) for r in figures.captions_in_boxes(boxes, "two-part").collect()] == [("2.3", 72.0)]
+
+
+def test_progress(spark):
+    text = "# Phase 1\n- [x] a\n- [ ] b\n* [X] c \n## Two\n- [x]d\n- [ ] e\n| A | B |\n|---|:-:|\n| 1 |  |"
+    df = spark.createDataFrame([("k", text), ("n", None)], "book string, text string")
+    got = [(r.line_no, r.section, r.item, r.done) for r in progress.check_list(df, ["book"], "text").orderBy("line_no").collect()]
+    assert got == [(2, "Phase 1", "a", True), (3, "Phase 1", "b", False), (4, "Phase 1", "c", True), (6, "Two", "d", True), (7, "Two", "e", False)]
+    assert [r.cells for r in progress.table_rows(df, ["book"], "text").orderBy("line_no").collect()] == [["A", "B"], ["1", ""]]
+    total = progress.roll_up(progress.check_list(df, ["book"], "text"), ["section"]).where("level = 0").first()
+    assert (total["items"], total.done, total.share) == (5, 3, 0.6)
+
+
+def test_repair_until_stable(spark):
+    from quire.plans import repair
+
+    files = spark.createDataFrame([(1, "x^2^3 \\bold{y}"), (2, "plain"), (3, None)], "id int, content string")
+    out = repair.until_stable(files)
+    assert (out.rounds, out.fixes, out.reason) == (2, 2, "stable")
+    assert {r.id: r.content for r in out.files.collect()} == {1: "x^{2^{3}} \\mathbf{y}", 2: "plain", 3: None}
+    bad = lambda f: f.where("content like '%bold%'")
+    assert repair.until_stable(files, bad).reason == "clean"
+    assert repair.until_stable(files, max_rounds=1).reason == "limit"
+
+
+def test_runs_without_a_log_and_preference(spark):
+    from quire.operators import logs
+
+    lines = spark.createDataFrame([(1, 0, "./a.tex:3: Bad")], "log_id int, line_no int, line string")
+    runs = spark.createDataFrame([(1,), (2,), (2,)], "log_id int")
+    assert sorted((r.log_id, r.message) for r in logs.errors_of_all(runs, lines).collect()) == [(1, "Bad"), (2, "no log was written")]
+    files = spark.createDataFrame([("b", "docs/p.md"), ("b", "p.md"), ("c", "docs/p.md"), ("d", "x")], "book string, rel_path string")
+    assert {r.book: r.rel_path for r in results.first_present(files, ["book"], ["p.md", "docs/p.md"]).collect()} == {"b": "p.md", "c": "docs/p.md"}
+    assert results.selected(spark.createDataFrame([("a",), ("b",)], "suite string"), "a").count() == 1
+
+
 def test_geometry(spark):
     blocks = [(0.0, 100.0, "x" * 60), (0.0, 200.0, "Figure " + "x" * 60), (0.0, 300.0, "short")]
     df = spark.createDataFrame([(blocks, 400.0), ([], 60.0)], "blocks array<struct<y0:double,y1:double,text:string>>, y double")
