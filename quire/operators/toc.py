@@ -80,10 +80,10 @@ def span_text(pages: DataFrame, spans: DataFrame, key: str, page: str, text: str
 
 
 def printed_dump(pages: DataFrame, key: str, page: str, text: str, offset: int) -> DataFrame:
-    """(key, text): all pages in order, each under its PDF page and printed page (PDF page less ``offset``)."""
-    piece = F.concat(F.format_string("=== PDF page %d, printed page %d ===\n", F.col(page), F.col(page) - offset), F.coalesce(text, F.lit("")))
-    got = pages.where(F.col(page).isNotNull()).groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col(page).alias("p"), piece.alias("t")))).alias("ps"))
-    return got.select(key, F.array_join(F.transform("ps", lambda x: x["t"]), "\n").alias("text"))
+    """(key, page, piece): each page under its PDF page and printed page (PDF page less ``offset``), to be written in page
+    order. One row per page: a document of any size is never one value."""
+    head = F.format_string("=== PDF page %d, printed page %d ===\n", F.col(page), F.col(page) - offset)
+    return pages.where(F.col(page).isNotNull()).select(key, page, F.concat(head, F.coalesce(text, F.lit("")), F.lit("\n")).alias("piece"))
 
 
 FILE_MARK = r"%%%\s*FILE:\s*(sec\d+_\d+\.tex)\s*%%%"

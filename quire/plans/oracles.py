@@ -386,8 +386,8 @@ SQL["chapter_page_text"] = f"""WITH {_PAGES}, {_RANGES}, s AS (SELECT DISTINCT '
     t AS (SELECT s.pdf, s.start_page, s.end_page, string_agg('--- Page ' || page_num || ' ---' || chr(10) || coalesce(text, ''), chr(10) || chr(10) ORDER BY page_num, coalesce(text, '')) AS t
         FROM s JOIN pages p ON p.pdf = s.pdf AND p.page_num BETWEEN s.start_page AND s.end_page GROUP BY ALL)
     SELECT pdf, start_page, end_page, CAST(length(t) AS BIGINT) AS chars, md5(t) AS text_md5 FROM t"""
-SQL["printed_pages"] = f"""WITH {_PAGES}, t AS (SELECT pdf, string_agg('=== PDF page ' || page_num || ', printed page ' || (page_num - 11) || ' ===' || chr(10) || coalesce(text, ''), chr(10) ORDER BY page_num, coalesce(text, '')) AS t
-    FROM pages WHERE pdf IS NOT NULL AND page_num IS NOT NULL GROUP BY pdf) SELECT pdf, CAST(length(t) AS BIGINT) AS chars, md5(t) AS text_md5 FROM t"""
+SQL["printed_pages"] = f"""WITH {_PAGES}, t AS (SELECT pdf, page_num, '=== PDF page ' || page_num || ', printed page ' || (page_num - 11) || ' ===' || chr(10) || coalesce(text, '') || chr(10) AS t
+    FROM pages WHERE pdf IS NOT NULL AND page_num IS NOT NULL) SELECT pdf, page_num, CAST(length(t) AS BIGINT) AS chars, md5(t) AS piece_md5 FROM t"""
 SQL["log_errors_of_all"] = _LOG + """, none AS (SELECT DISTINCT c_custkey AS log_id FROM customer WHERE c_custkey NOT IN (SELECT log_id FROM lines)),
     all_ AS (SELECT log_id, false AS no_log FROM errors UNION ALL SELECT log_id, true FROM none)
     SELECT no_log, count(*) AS errors, count(DISTINCT log_id) AS logs FROM all_ GROUP BY no_log"""

@@ -348,8 +348,8 @@ def chapter_page_text(spark: SparkSession, d: str) -> DataFrame:
 @query
 def printed_pages(spark: SparkSession, d: str) -> DataFrame:
     p = latest(read(spark, d, "ocr_page").where("pdf is not null").select("ocr_id", "pdf", "page_num", "text", "loaded_at"), ["ocr_id"], "loaded_at")
-    t = toc.printed_dump(p, "pdf", "page_num", "text", 11)
-    return t.select("pdf", F.length("text").cast("bigint").alias("chars"), F.md5("text").alias("text_md5"))
+    t = toc.printed_dump(p.select("ocr_id", "pdf", "page_num", "text"), "pdf", "page_num", "text", 11)
+    return t.select("pdf", "page_num", F.length("piece").cast("bigint").alias("chars"), F.md5("piece").alias("piece_md5"))
 
 
 # --- logs -----------------------------------------------------------------------------------------------------------------
