@@ -18,19 +18,19 @@ from pyspark.sql import functions as F
 
 from quire.functions.cluster import latest, spread
 
-SCHEMA = "file_id bigint, book string, suffix string, checked boolean, valid boolean, fail_offset int, fail_line int, expected string, cause string"
+SCHEMA = "file_id bigint, book string, suffix string, loaded_at timestamp, checked boolean, valid boolean, fail_offset int, fail_line int, expected string, cause string"
 
 
 def parsed(files: DataFrame) -> DataFrame:
-    """One row per file: validity, furthest failure, cause (truncated, conflict, wrong language, syntax)."""
-    rows = latest(files.select("file_id", "book", "suffix", "loaded_at", "content"), ["file_id"], "loaded_at")
+    """One row per file: validity, furthest failure, cause (truncated, conflict, wrong language, syntax). Rows are parsed
+    where they are read; what is shuffled to keep the latest row of a file is its result, not its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from quire.llm.peg import check
 
         for batch in batches:
             cols: list[list] = [[] for _ in range(6)]
-            for suffix, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for suffix, text in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist()):
                 got = check(suffix, text) if text else None
                 if got is None:
                     row = (False, None, None, None, None, None)
@@ -44,9 +44,10 @@ def parsed(files: DataFrame) -> DataFrame:
                 for c, v in zip(cols, row):
                     c.append(v)
             kinds = (pa.bool_(), pa.bool_(), pa.int32(), pa.int32(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *[pa.array(c, k) for c, k in zip(cols, kinds)]], [x.split(" ")[0] for x in SCHEMA.split(", ")])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *[pa.array(c, k) for c, k in zip(cols, kinds)]], [x.split(" ")[0] for x in SCHEMA.split(", ")])
 
-    return spread(rows.select("file_id", "book", "suffix", "content")).mapInArrow(run, SCHEMA)
+    rows = spread(files.select("file_id", "book", "suffix", F.col("loaded_at").cast("timestamp").alias("loaded_at"), "content")).mapInArrow(run, SCHEMA)
+    return latest(rows, ["file_id"], "loaded_at").drop("loaded_at")
 
 
 def found(files: DataFrame) -> DataFrame:
