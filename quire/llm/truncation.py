@@ -46,10 +46,11 @@ def _form(content: Column, suffix: Column) -> Column:
 
 def _records(files: DataFrame, results: DataFrame) -> DataFrame:
     """(tbl, rec_id, source, chars, bytes, last, ended, form): what is known of every value."""
-    f = latest(files.select("file_id", "suffix", "origin", "loaded_at", F.col("content")), ["file_id"], "loaded_at")
-    f = f.where(F.col("content").isNotNull()).select(
+    # measures of a text, not the text, are shuffled to keep the latest row
+    f = files.select(
         F.lit("source_file").alias("tbl"),
         F.col("file_id").alias("rec_id"),
+        "loaded_at",
         F.to_json(F.struct("origin")).alias("source"),
         F.length("content").cast("bigint").alias("chars"),
         F.octet_length("content").cast("bigint").alias("bytes"),
@@ -57,6 +58,7 @@ def _records(files: DataFrame, results: DataFrame) -> DataFrame:
         F.col("content").rlike(r"[\r\n]\z").alias("ended"),
         _form(F.col("content"), F.col("suffix")).alias("form"),
     )
+    f = latest(f, ["tbl", "rec_id"], "loaded_at").drop("loaded_at").where("chars is not null")
     cols = ["result_id", "model", "input_format", "status", "output_length", "output_tail", "loaded_at"]
     r = latest(results.select(*cols), ["result_id"], "loaded_at").where(F.lower(F.trim("status")) == "success")
     r = r.select(
