@@ -93,7 +93,7 @@ def consistent_table(conf: DataFrame) -> DataFrame:
             F.col(field)["key"].alias(f"{n}_key"),
             t.alias(f"{n}_type"),
             F.when(t == "integer", v.try_cast("int")).alias(f"{n}_integer"),
-            F.when(t == "decimal", v.try_cast("decimal(18,2)")).alias(f"{n}_decimal"),
+            F.when(t == "decimal", v.try_cast("double")).alias(f"{n}_decimal"),
             F.when(t == "boolean", v == "true").alias(f"{n}_boolean"),
             F.when(t == "range", F.concat_ws("-", F.transform(_ints(v), lambda x: x.cast("string")))).alias(f"{n}_range"),
             F.when(t == "list", F.concat_ws(",", F.transform(_ints(v), lambda x: x.cast("string")))).alias(f"{n}_list"),

@@ -70,7 +70,7 @@ SQL["p1_table"] = (
     + ", ".join(
         rf"""{f}_key, {f}_type,
         CASE WHEN {f}_type = 'integer' THEN try_cast({f}_v AS INTEGER) END AS {f}_integer,
-        CASE WHEN {f}_type = 'decimal' THEN try_cast({f}_v AS DECIMAL(18,2)) END AS {f}_decimal,
+        CASE WHEN {f}_type = 'decimal' THEN try_cast({f}_v AS DOUBLE) END AS {f}_decimal,
         CASE WHEN {f}_type = 'boolean' THEN {f}_v = 'true' END AS {f}_boolean,
         CASE WHEN {f}_type = 'range' THEN array_to_string(list_transform(regexp_extract_all({f}_v, '[0-9]+'), lambda x: CAST(try_cast(x AS INTEGER) AS VARCHAR)), '-') END AS {f}_range,
         CASE WHEN {f}_type = 'list' THEN array_to_string(list_transform(regexp_extract_all({f}_v, '[0-9]+'), lambda x: CAST(try_cast(x AS INTEGER) AS VARCHAR)), ',') END AS {f}_list,
