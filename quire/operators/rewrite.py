@@ -26,6 +26,27 @@ class Rule:
     count: Callable[[Column], Column]
 
 
+def guarded(rule: Rule, may_fire: Callable[[Column], Column]) -> Rule:
+    """The rule behind a cheap test: texts it cannot touch cost a literal search and no regular expression."""
+    return Rule(
+        rule.name,
+        lambda c: F.when(may_fire(c), rule.apply(c)).otherwise(c),
+        lambda c: F.when(may_fire(c), rule.count(c)).otherwise(F.lit(0).cast("bigint")),
+    )
+
+
+def holds(*literals: str) -> Callable[[Column], Column]:
+    """Whether a text holds one of the literals."""
+
+    def test(c: Column) -> Column:
+        out = c.contains(literals[0])
+        for x in literals[1:]:
+            out = out | c.contains(x)
+        return out
+
+    return test
+
+
 def pattern_rule(name: str, *steps: tuple[str, str]) -> Rule:
     """A rule of regular replacements in sequence; counts are those of the texts in between."""
 
@@ -48,13 +69,13 @@ def math_line_rule(name: str, pattern: str, into: str) -> Rule:
     """A replacement on lines of mathematics only."""
 
     def apply(c: Column) -> Column:
-        return F.array_join(F.transform(lines(c), lambda x: F.when(is_math_line(x), F.regexp_replace(x, pattern, into)).otherwise(x)), "\n")
+        return F.array_join(F.transform(lines(c), lambda x: F.when(x.rlike(pattern) & is_math_line(x), F.regexp_replace(x, pattern, into)).otherwise(x)), "\n")
 
     def count(c: Column) -> Column:
-        per_line = F.transform(lines(c), lambda x: F.when(is_math_line(x), count_of(x, pattern)).otherwise(F.lit(0).cast("bigint")))
+        per_line = F.transform(lines(c), lambda x: F.when(x.rlike(pattern) & is_math_line(x), count_of(x, pattern)).otherwise(F.lit(0).cast("bigint")))
         return F.coalesce(F.aggregate(per_line, F.lit(0).cast("bigint"), lambda a, b: a + b), F.lit(0).cast("bigint"))
 
-    return Rule(name, apply, count)
+    return guarded(Rule(name, apply, count), lambda c: c.rlike(pattern))
 
 
 #: Marks of a finished proof, removed inside proofs only. Fixed patterns, in order.
@@ -91,13 +112,13 @@ def _boxed(env: str) -> tuple[str, str]:
 
 #: The rules in the order in which they run.
 RULES: tuple[Rule, ...] = (
-    pattern_rule("boxed_environment", _boxed("boxed")),
-    pattern_rule("defbox_in_math", _boxed("defbox")),
-    pattern_rule("double_math_boxed", (r"\\boxed\{\$([^$]+)\$\}", r"\\boxed{$1}")),
-    pattern_rule("boxed_display_math", (r"(?s)\\boxed\{\\?\[\s*(.*?)\s*\\?\]\}", r"\\[\\boxed{$1}\\]")),
-    pattern_rule("missing_partial", (r"\\frac\{partial\}\{partial\s+(" + WORD + r")\}", r"\\frac{\\partial}{\\partial $1}")),
-    _proof_rule(),
-    pattern_rule("undefined_control", (r"\\textup\b", r"\\textrm"), (r"\\bold\b", r"\\mathbf")),
+    guarded(pattern_rule("boxed_environment", _boxed("boxed")), holds("\\begin{boxed}")),
+    guarded(pattern_rule("defbox_in_math", _boxed("defbox")), holds("\\begin{defbox}")),
+    guarded(pattern_rule("double_math_boxed", (r"\\boxed\{\$([^$]+)\$\}", r"\\boxed{$1}")), holds("\\boxed{$")),
+    guarded(pattern_rule("boxed_display_math", (r"(?s)\\boxed\{\\?\[\s*(.*?)\s*\\?\]\}", r"\\[\\boxed{$1}\\]")), holds("\\boxed{\\[", "\\boxed{[")),
+    guarded(pattern_rule("missing_partial", (r"\\frac\{partial\}\{partial\s+(" + WORD + r")\}", r"\\frac{\\partial}{\\partial $1}")), holds("\\frac{partial}")),
+    guarded(_proof_rule(), holds("\\qed", "\\blacksquare")),
+    guarded(pattern_rule("undefined_control", (r"\\textup\b", r"\\textrm"), (r"\\bold\b", r"\\mathbf")), holds("\\textup", "\\bold")),
     math_line_rule("double_superscript", f"({WORD})\\^({WORD})\\^({WORD})", r"$1^{$2^{$3}}"),
     math_line_rule("double_subscript", f"({WORD})_({WORD})_({WORD})", r"$1_{$2_{$3}}"),
 )
