@@ -49,6 +49,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def letter_names(points: np.ndarray) -> np.ndarray:
+    return mix(points.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+
+
+_LETTERS = letter_names(np.arange(1 << 16, dtype=np.uint32))
+
+
 class Powers:
     """Powers of the hash base and of its inverse, grown as needed."""
 
@@ -74,7 +81,7 @@ class Parsed:
         self.sizes = np.array([len(t) for t in texts], np.int64)
         self.points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         self.begins = np.concatenate([[0], np.cumsum(self.sizes)])
-        letters = mix(self.points.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+        letters = _LETTERS[self.points] if len(self.points) and self.points.max() < len(_LETTERS) else letter_names(self.points)
         n = len(letters)
         self.up, self.down = _POWERS.to(n + 1)
         self.prefix = np.zeros(n + 1, np.uint64)
@@ -106,7 +113,8 @@ class Parsed:
                 big = many & (whole >= RUN)
                 if big.any():
                     long_runs.append(np.stack([st[big], st[big] + whole[big], s[big].view(np.int64), whole[big] // times[big]], 1))
-                s = np.where(many, mix(s + times.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), s)
+                k = np.flatnonzero(many)
+                s[k] = mix(s[k] + times[k].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
             sym, start, text = s, st, text[at]
             # pairs of a left and a right symbol
             size = np.diff(start, append=n)
@@ -117,7 +125,6 @@ class Parsed:
             right = np.zeros(len(sym), bool)
             right[1:] = join[:-1]
             both = np.flatnonzero(join)
-            sym = sym.copy()
             sym[both] = mix(sym[both] * np.uint64(3) + mix(sym[both + 1]))
             keep = ~right
             sym, start, text = sym[keep], start[keep], text[keep]
@@ -185,7 +192,7 @@ def symbols(classes: DataFrame) -> DataFrame:
                     ids.append(c)
                     texts.append(t)
                     size += len(t)
-                if ids and (size > 2_000_000 or k + 1 == len(rows)):  # bounded memory
+                if ids and (size > 500_000 or k + 1 == len(rows)):  # bounded memory
                     names, owners, at = Parsed(texts).high()
                     cls = pa.array(ids, pa.binary()).take(pa.array(owners, pa.int64()))
                     yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), cls, pa.array(at.astype(np.int32))], ["sym", "cls", "pos"])
@@ -242,7 +249,8 @@ class Shared:
         self.files, self.span = files, span
         self.classes = _classes(files, span)
         sym = symbols(self.classes)
-        groups = sym.groupBy("sym").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("sym", "n")
+        # 64-bit names of the classes keep the aggregate in hash tables, without sorting
+        groups = sym.groupBy("sym").agg(F.min(F.xxhash64("cls")).alias("lo"), F.max(F.xxhash64("cls")).alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("sym", "n")
         self.both = cut(sym.join(groups, "sym"))
 
     def spans(self) -> DataFrame:
@@ -288,7 +296,7 @@ class Shared:
                     yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array([c] * len(starts), pa.binary()), pa.array(starts.astype(np.int32))], ["gram", "cls", "pos"])
 
         all_ = many.join(text, "cls").select("cls", "content", "at").mapInArrow(run, "gram bigint, cls binary, pos int")
-        shared = all_.groupBy("gram").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("gram")
+        shared = all_.groupBy("gram").agg(F.min(F.xxhash64("cls")).alias("lo"), F.max(F.xxhash64("cls")).alias("hi")).where("lo <> hi").select("gram")
         return all_.join(shared, "gram")
 
     def ids(self) -> DataFrame:
