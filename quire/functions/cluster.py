@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,7 +28,45 @@ def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores * per_core)
 
 
+_READY: set[str] = set()
+
+
+def on_workers(spark: SparkSession) -> None:
+    """Make the package importable in the Python workers: nothing to do where they find it (installed, or on their path),
+    else it is sent to the executors once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _READY:
+        return
+
+    def probe(batches: Iterator) -> Iterator:
+        import importlib.util
+
+        import pyarrow
+
+        there = importlib.util.find_spec("quire") is not None
+        for b in batches:
+            yield pyarrow.RecordBatch.from_arrays([pyarrow.array([there] * b.num_rows)], ["there"])
+
+    probe.__module__ = "__main__"  # sent by value: it must run where the package is missing
+    try:
+        there = spark.range(1).mapInArrow(probe, "there boolean").first()[0]
+    except Exception:  # noqa: BLE001 - a worker that cannot even start the probe gets the package, too
+        there = False
+    if not there:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        path = os.path.join(tempfile.mkdtemp(prefix="quire-"), "quire.zip")  # on the driver, which serves it
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, files in os.walk(root):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(folder, f)
+                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
+        sc.addPyFile(path)
+    _READY.add(sc.applicationId)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

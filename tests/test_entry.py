@@ -56,3 +56,19 @@ def test_nothing_else_imports_the_optional_subpackage():
                 if f.endswith(".py"):
                     with open(os.path.join(folder, f)) as h:
                         assert "quire.llm" not in h.read(), f
+
+
+def test_queries_run_from_another_folder(tmp_path):
+    """Python workers that cannot import the package get it sent."""
+    import subprocess
+    import sys
+
+    code = (
+        "import sys; sys.path.insert(0, sys.argv[1])\n"
+        "import __spark_entry__ as e\nfrom quire.session import local_session\n"
+        "s = local_session(2)\nprint('rows', e.queries()['log_unwrapped'](s, sys.argv[2]).count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    done = subprocess.run([sys.executable, "-c", code, root, DIR], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows" in done.stdout, done.stderr[-800:]
