@@ -43,6 +43,7 @@ BLOCK, MARGIN, EDGE = 64, 8, 3
 RATIO = 8  # a repair is at least so many times as frequent as the word
 KNOWN = 200_000  # sound words that a scan gets as a filter; the rest is looked up by join
 LONGEST = 64
+LONG = 300  # of a longer edge line only the ends are sent
 
 HYPHENS = "-‐­¬‑"
 #: Confusion pairs: printed -> read. Fixed values.
@@ -301,6 +302,24 @@ def signature(text: str) -> str:
     return s.replace("r", "n").translate(_ONE)
 
 
+def edge_line(line: str) -> str:
+    """The line; of a long one both ends, whole to the first and from the last token that may be a number, and a stand-in
+    for what lies between, which is no title, no number, and a formula if the line is one."""
+    t = line.rstrip()
+    if len(t) < LONG:
+        return t
+    h = _ORNAMENT.match(t).end()
+    while h < len(t) and not t[h].isspace():
+        h += 1
+    e = len(t)
+    while e and not t[e - 1].isalnum():
+        e -= 1
+    b = e
+    while b and not t[b - 1].isspace():
+        b -= 1
+    return t if b <= h else t[:h] + " " + ("=" if "=" in t[h:b] else "") + "x" * LONG + " " + t[b:]
+
+
 def page_edges(text: str) -> tuple[list, list, list, int]:
     """(first lines, last lines, headings further in, width): lines as (line number, text, blank before, blank after)."""
     lines = text.split("\n")
@@ -309,7 +328,7 @@ def page_edges(text: str) -> tuple[list, list, list, int]:
     width = sorted(map(len, lines))[-max(1, len(lines) // 4)] if lines else 0
 
     def row(k: int) -> tuple[int, str, bool, bool]:
-        return k + 1, lines[k].rstrip() if len(lines[k]) < 300 else lines[k][:1] * 300, k == 0 or not bare[k - 1], k + 1 >= len(lines) or not bare[k + 1]
+        return k + 1, edge_line(lines[k]), k == 0 or not bare[k - 1], k + 1 >= len(lines) or not bare[k + 1]
 
     top = full[:EDGE]
     bottom = [k for k in full[-EDGE:] if k not in top]

@@ -54,6 +54,28 @@ def test_book(spark):
     assert len(texts[1].paragraphs) == 2
 
 
+@pytest.mark.parametrize("indent", ["", "   ", "\t"])
+def test_long_edge_lines(spark, indent):
+    """Pages without line ends: a word broken at the page's end is joined whatever the lines' length."""
+    prose = " ".join(BODY * 3)
+    rows = [(1, "pdfs/b.pdf", 1, f"{indent}{prose} It is a symmetric factori-", "w"), (2, "pdfs/b.pdf", 2, f"{indent}zations there. {prose}", "w"), (3, "pdfs/b.pdf", 3, "\n".join(BODY * 3), "w"), (4, "pdfs/b.pdf", 4, "Symmetric factorizations there.", "w")]
+    r, got = found(spark, rows)
+    assert {(i, n) for i, n, k in got if k == "hyphen"} == {(1, 1)}
+    texts = {x.ocr_id: x.text for x in r.texts().collect()}
+    assert texts[1] == f"{prose} It is a symmetric factorizations" and texts[2] == f"there. {prose}"
+
+
+def test_long_edge_lines_keep_what_is_read_of_them():
+    prose = " ".join(BODY * 3)
+    for line in (f"  page 12 {prose} meas-", f"- {prose} f = g {prose} 12 -", f"{prose} (end).", "-" * 400, "-" * 200 + " 12 " + "-" * 200, "12" + " " * 400, "x" * 400 + " y " + "z" * 400 + "-", "a" * 900):
+        got, want = ocr.edge_line(line), line.rstrip()
+        assert got.split()[0] == want.split()[0] and got.split()[-1] == want.split()[-1]
+        assert got[: len(got) - len(got.lstrip())] == want[: len(want) - len(want.lstrip())] and ("=" in got) == ("=" in want) and (len(got) >= 200) == (len(want) >= 200)
+        core, whole = ocr._ORNAMENT.sub("", got).split(), ocr._ORNAMENT.sub("", want).split()
+        assert core[:1] == whole[:1] and core[-1:] == whole[-1:] and (len(core) == 1) == (len(whole) == 1)
+    assert len(ocr.edge_line(prose * 100)) < 400
+
+
 def test_empty(spark):
     r, got = found(spark, [])
     assert got == set() and r.texts().count() == 0
