@@ -514,7 +514,7 @@ def layout(pages: DataFrame, sections: DataFrame, chapters: DataFrame) -> DataFr
     offsets = votes.where("c >= 2").groupBy("pdf").agg(F.collect_list("v").alias("offsets"))  # at most two: arabic and roman
 
     margin = F.array_distinct(F.array(blk, F.floor((F.col("page_num") - MARGIN) / BLOCK), F.floor((F.col("page_num") + MARGIN) / BLOCK)))
-    halo = e.select("pdf", "edge", blk.alias("own"), F.explode(F.filter(margin, lambda x: x.isNotNull())).alias("blk"))
+    halo = e.where("pdf is not null").select("pdf", "edge", blk.alias("own"), F.explode(F.filter(margin, lambda x: x.isNotNull())).alias("blk"))
     blocks = halo.groupBy("pdf", "blk").agg(F.collect_set(F.struct((F.col("own") == F.col("blk")).alias("mine"), "edge")).alias("rows"))
 
     pdf = F.concat(F.lit("pdfs/"), F.col("book"), F.lit(".pdf")).alias("pdf")
@@ -526,7 +526,10 @@ def layout(pages: DataFrame, sections: DataFrame, chapters: DataFrame) -> DataFr
         pdf, F.struct("title", F.lit(None).cast("int").alias("page")).alias("t"), F.explode(F.sequence(F.floor(F.col("start_page") / BLOCK), F.floor(F.col("end_page") / BLOCK))).alias("blk")
     )
     titles = named.unionByName(ranges).distinct().groupBy("pdf", "blk").agg(F.collect_list("t").alias("titles"))
-    blocks = blocks.join(offsets, "pdf", "left").join(titles, ["pdf", "blk"], "left")
+    blocks = blocks.join(offsets, "pdf", "left").join(titles, ["pdf", "blk"], "left").select("rows", "offsets", "titles")
+    # without a pdf a page is a group of its own; no offsets or titles are known of it
+    lone = e.where("pdf is null").groupBy("ocr_id").agg(F.collect_set(F.struct(F.lit(True).alias("mine"), "edge")).alias("rows"))
+    blocks = blocks.unionByName(lone.select("rows"), allowMissingColumns=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -555,7 +558,7 @@ def layout(pages: DataFrame, sections: DataFrame, chapters: DataFrame) -> DataFr
                     tails.append(tail)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(drops, pa.map_(pa.int32(), pa.string())), pa.array(tails, _TAIL)], ["ocr_id", "drop", "tail"])
 
-    return blocks.select("rows", "offsets", "titles").mapInArrow(
+    return blocks.mapInArrow(
         run, "ocr_id bigint, drop map<int,string>, tail struct<line_no:int,left:string,next_id:bigint,next_line:int,right:string>"
     )
 

@@ -76,6 +76,25 @@ def test_long_edge_lines_keep_what_is_read_of_them():
     assert len(ocr.edge_line(prose * 100)) < 400
 
 
+def test_pages_without_a_pdf_have_no_neighbours(spark):
+    """Documents without a pdf and with equal or next page numbers: no word is joined, no title found across them."""
+    rows = []
+    for doc, tail, head in ((1, "factoriza-", "A linear"), (2, "meas-", "The compact")):
+        for p in (1, 2):
+            last = f"theorem gives a compact distribution with several symmetric {tail}" if p == 1 else BODY[2]
+            rows.append((10 * doc + p, None, p, "\n".join([f"{head} title here it is,", "the same in all, of the book", *BODY, *BODY[:2], last, "the note at the end of pages"]), "w"))
+    rows = [(i, d, p, t if p == 2 else t.rsplit("\n", 1)[0], w) for i, d, p, t, w in rows]
+    rows += [(100, "pdfs/b.pdf", 1, "\n".join([*BODY, "symmetric factorizations of measures"]), "w")]
+    r, got = found(spark, [*rows, rows[0]])
+    tails = {x.ocr_id: x.tail for x in r.layout.collect()}
+    assert len(tails) == 5 and {i for i, t in tails.items() if t is not None} == {11, 21}
+    assert all(t.next_id is None and t.right is None for t in tails.values() if t is not None)
+    alone = {c for row in rows for c in found(spark, [row])[1] if c[2] in ("header", "page_number")}
+    assert {c for c in got if c[2] in ("header", "page_number")} == alone
+    texts = {x.ocr_id: x.text for x in r.texts().collect()}
+    assert texts[12].startswith("A linear title") and texts[22].startswith("The compact title")
+
+
 def test_empty(spark):
     r, got = found(spark, [])
     assert got == set() and r.texts().count() == 0
