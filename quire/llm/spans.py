@@ -9,7 +9,8 @@ as they are, which bounds what the ends of a substring can lose.
 High-level symbols are named stretches of consecutive interior symbols of at least ``HIGH`` characters; of their starts
 the least-named of every ``EVERY`` neighbours are kept. Texts that share a high-level symbol are verified and extended
 character by character. Runs of ``RUN`` characters and more, whose length differs with their place, have symbols of
-their own at either end and at steps between.
+their own at either end and at steps between. Runs of ``SHORT_RUN`` characters and more also name the ``BESIDE``
+characters before and after them: a span of ``SPAN`` characters that is cut inside a run at both ends holds those.
 
 Nothing is collected by group without a bound: symbols that stand in one text only are dropped by an aggregate, groups of
 up to ``GROUP`` occurrences are paired, and for larger groups the exact substrings of ``span`` characters around the
@@ -35,6 +36,7 @@ from quire.functions.cluster import cut, latest, spread
 SPAN = 200
 STOP, ROUNDS = 8, 5
 HIGH, EVERY, RUN, EVERY_RUN = 80, 6, 64, 96
+SHORT_RUN, BESIDE = 16, 64  # between two parts of runs below RUN lie SPAN - 2 * (RUN - 1) = 74 characters or more
 GROUP = 64
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -97,6 +99,7 @@ class Parsed:
         start = np.arange(n, dtype=np.int64)
         text = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
         long_runs: list[np.ndarray] = []
+        sides: list[np.ndarray] = []
         for r in range(ROUNDS):
             if len(sym) < 2:
                 break
@@ -110,6 +113,8 @@ class Parsed:
             many = times > 1
             if many.any():
                 whole = np.diff(st, append=n)
+                short = many & (whole >= SHORT_RUN)
+                sides.append(np.stack([st[short], st[short] + whole[short]], 1))
                 big = many & (whole >= RUN)
                 if big.any():
                     long_runs.append(np.stack([st[big], st[big] + whole[big], s[big].view(np.int64), whole[big] // times[big]], 1))
@@ -130,6 +135,7 @@ class Parsed:
             sym, start, text = sym[keep], start[keep], text[keep]
         self.sym, self.start, self.text = sym, start, text
         self.runs = np.concatenate(long_runs) if long_runs else np.zeros((0, 4), np.int64)
+        self.sides = np.concatenate(sides) if sides else np.zeros((0, 2), np.int64)
 
     def high(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(name, text, position in the text) of the high-level symbols."""
@@ -162,6 +168,11 @@ class Parsed:
             owner = np.searchsorted(self.begins, a, side="right") - 1
             left, right = mix(base ^ np.uint64(0x1D8E4E27C47D124F)), mix(base ^ np.uint64(0x5851F42D4C957F2D))
             parts += [(left[k], owner[k], inner), (left, owner, a + period), (right, owner, b - 1), (right, owner, b - 1 - period)]
+        if len(self.sides):
+            owner = np.searchsorted(self.begins, self.sides[:, 0], side="right") - 1
+            for at in (self.sides[:, 0] - BESIDE, self.sides[:, 1]):
+                ok = (at >= self.begins[owner]) & (at + BESIDE <= self.begins[owner + 1])
+                parts.append((self.name(at[ok], at[ok] + BESIDE), owner[ok], at[ok]))
         if not parts:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         names, owners, at = (np.concatenate([p[i] for p in parts]) for i in range(3))

@@ -106,6 +106,38 @@ def test_pairs_and_portions_equal_brute_force(spark, monkeypatch, seed, group):
     assert {k: v for k, v in got.items() if v} == covered and got[900] == 0
 
 
+def cut_rules(seed, n, left, right, sign="="):
+    """Pairs of texts that share barely 200 characters, cut inside runs of the lengths at the ends (0: no run there)."""
+    random.seed(seed)
+    text = lambda m: "".join(random.choice("abcdefgh  \n") for _ in range(m))
+    out = {}
+    for k in range(n):
+        inner = text(200 - left - right)
+        longer = random.randrange(1, 20)
+        out[2 * k] = text(90) + "(" + sign * left + inner + sign * right + ")" + text(90)
+        out[2 * k + 1] = text(90) + "[" + sign * (left + longer if left else 0) + inner + sign * (right + longer if right else 0) + "]" + text(90)
+    return out
+
+
+@pytest.mark.parametrize("left,right", [(60, 60), (63, 63), (40, 40), (24, 24), (60, 0), (0, 60), (24, 63)])
+def test_spans_cut_inside_runs_have_a_common_symbol(left, right):
+    texts = cut_rules(left + right, 300, left, right)
+    missed = 0
+    for k in range(0, len(texts), 2):
+        names, owners, at = spans.Parsed([texts[k], texts[k + 1]]).high()
+        one, two = ({int(x): int(p) for x, o, p in zip(names, owners, at) if o == side} for side in (0, 1))
+        missed += not any(spans._matches(texts[k], texts[k + 1], [(one[x], two[x])], 200) for x in one.keys() & two.keys())
+    assert missed == 0
+
+
+def test_spans_cut_inside_runs_equal_brute_force(spark):
+    texts = dict(enumerate([*cut_rules(1, 20, 60, 60).values(), *cut_rules(2, 20, 40, 40, "-").values(), *cut_rules(3, 10, 0, 60).values()]))
+    shared = spans.Shared(spark.createDataFrame([(k, 1, t, "x") for k, t in texts.items()], FILES))
+    pairs, covered = brute(texts)
+    assert {(r.a, r.b) for r in shared.pairs().collect()} == pairs and len(pairs) == 50
+    assert {r.file_id: r.shared_chars for r in shared.portions().collect() if r.shared_chars} == covered
+
+
 def test_parse_is_local():
     """Equal substrings get equal symbols but for a few at their ends."""
     random.seed(5)
