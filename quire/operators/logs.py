@@ -105,3 +105,19 @@ def errors_of_all(runs: DataFrame, lines: DataFrame, root: str | None = None) ->
     kinds = dict(found.dtypes)
     gone = none.select("log_id", *[(F.lit("no log was written") if c == "message" else F.lit(None)).cast(kinds[c]).alias(c) for c in found.columns if c != "log_id"])
     return found.unionByName(gone)
+
+
+def error_files(found: DataFrame) -> DataFrame:
+    """(file, errors): the distinct files named in errors."""
+    return found.where("file is not null").groupBy("file").agg(F.count("*").alias("errors"))
+
+
+def top_files(files: DataFrame, n: int) -> DataFrame:
+    """The n files with most errors; ties: the first by name."""
+    return files.orderBy(F.desc("errors"), "file").limit(n)
+
+
+def files_beyond(files: DataFrame, n: int) -> DataFrame:
+    """(files, errors): one row, how many files are beyond the n with most errors, and the errors in them."""
+    rest = files.join(top_files(files, n).select("file"), "file", "left_anti")
+    return rest.agg(F.count("*").alias("files"), F.coalesce(F.sum("errors"), F.lit(0)).alias("errors"))

@@ -341,6 +341,8 @@ _LOG = r"""WITH lines AS (SELECT user_id AS log_id, event_id AS line_no, CASE ev
     errors AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY log_id, file, line, message ORDER BY line_no) = 1)"""
 SQL["log_errors"] = _LOG + " SELECT log_id, line_no, message, file, line, context FROM errors"
 SQL["log_error_files"] = _LOG + " SELECT file, count(*) AS errors FROM errors WHERE file IS NOT NULL GROUP BY file ORDER BY errors DESC, file LIMIT 10"
+SQL["log_error_files_all"] = _LOG + " SELECT file, count(*) AS errors FROM errors WHERE file IS NOT NULL GROUP BY file"
+SQL["log_error_files_rest"] = _LOG + ", beyond AS (SELECT file, count(*) AS n FROM errors WHERE file IS NOT NULL GROUP BY file ORDER BY n DESC, file OFFSET 10) SELECT count(*) AS files, CAST(coalesce(sum(n), 0) AS BIGINT) AS errors FROM beyond"
 _WIDTH = f"""WITH {_PAGES}, l AS (SELECT ocr_id AS log_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM pages WHERE text IS NOT NULL),
     h AS (SELECT log_id, length(line) AS len, count(*) AS c FROM l GROUP BY ALL),
     top AS (SELECT log_id, len AS width, c FROM h WHERE len >= 60 QUALIFY row_number() OVER (PARTITION BY log_id ORDER BY c DESC, len) = 1),

@@ -381,9 +381,20 @@ def log_errors_of_all(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def log_error_files(spark: SparkSession, d: str) -> DataFrame:
-    """Distinct files named in errors, the ten most frequent first, with how many errors are beyond them."""
-    e = logs.errors(_log_lines(spark, d)).where("file is not null").groupBy("file").agg(F.count("*").alias("errors"))
-    return e.orderBy(F.desc("errors"), "file").limit(10)
+    """The ten files most often named in errors; ``log_error_files_rest`` says what is beyond them."""
+    return logs.top_files(logs.error_files(logs.errors(_log_lines(spark, d))), 10)
+
+
+@query
+def log_error_files_all(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct files named in errors."""
+    return logs.error_files(logs.errors(_log_lines(spark, d)))
+
+
+@query
+def log_error_files_rest(spark: SparkSession, d: str) -> DataFrame:
+    """How many files, and errors in them, are beyond the ten most frequent."""
+    return logs.files_beyond(logs.error_files(logs.errors(_log_lines(spark, d))), 10)
 
 
 @query

@@ -76,3 +76,12 @@ def test_width_tie_takes_the_smallest(spark):
 def test_context_is_six_lines_cut_at_200(spark):
     r = logs.errors(lines(spark, ["! E"] + ["c" * 60] * 8)).first()
     assert len(r.context) == 200 and r.context.startswith("! E\n" + "c" * 60)
+
+
+def test_files_beyond_the_most_frequent_are_counted(spark):
+    text = [f"./f{k:02}.tex:{i}: Bad {i}" for k in range(14) for i in range(k + 1)]
+    files = logs.error_files(logs.errors(lines(spark, text)))
+    assert {(r.file, r.errors) for r in files.collect()} == {(f"./f{k:02}.tex", k + 1) for k in range(14)}
+    assert [r.errors for r in logs.top_files(files, 10).collect()] == list(range(14, 4, -1))
+    assert [tuple(r) for r in logs.files_beyond(files, 10).collect()] == [(4, 10)]
+    assert [tuple(r) for r in logs.files_beyond(files.where("errors > 8"), 10).collect()] == [(0, 0)]
