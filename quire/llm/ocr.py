@@ -19,7 +19,8 @@ Defined cases
 * null or empty text: no lines, no cases, null text out. Repeated rows of an ocr_id give the same cases once; pages out
   once. Null pdf or page number: the page has no neighbours and is judged by itself.
 * ties between candidates: lower cost, then higher count, then code point order.
-* tokens of more than 64 characters are not words; lines with ``=`` are formulas and hold no misread words.
+* tokens of more than 64 characters are not words; in lines with ``=`` only tokens with three letters or more and no signs
+  of a formula are words, the rest is the formula.
 * a word broken at the end of a page goes on in the first body line of the next page number of its pdf that has text
   within four pages; if there is none, the part decides: a part that only begins compounds is no broken word.
 * empty tables give empty results; extra columns are ignored.
@@ -84,6 +85,22 @@ def line_words(lines: list[str]) -> Iterator[tuple[int, list[str], str | None, i
         yield k, toks, left, after, right
 
 
+_FORMULA = re.compile(r"[^\w!|+@$'’-]|_")
+
+
+def prose(token: str) -> bool:
+    """Whether a token of a line with ``=`` is a word, misread or not, and no part of the formula."""
+    core = token.strip(_STRIP)
+    return sum(map(str.isalpha, core)) >= 3 and not _FORMULA.search(core)
+
+
+def prose_of(line: str) -> str:
+    """A line with ``=`` without its formula; the tokens at its ends may be parts of broken words. Empty if it is all formula."""
+    toks = line.split()
+    keep = [prose(t) for t in toks]
+    return " ".join([t for j, t in enumerate(toks) if keep[j] or (j in (0, len(toks) - 1) and "=" not in t)]) if any(keep) else ""
+
+
 def joined(left: str, right: str) -> str:
     return left.strip(_STRIP).lower() + right.strip(_STRIP).lower()
 
@@ -98,7 +115,7 @@ def count_words(texts: list[str | None]) -> tuple[Counter, Counter]:
             continue
         lines = text.split("\n")
         if "=" in text:
-            lines = [x for x in lines if "=" not in x]
+            lines = [prose_of(x) if "=" in x else x for x in lines]
             text = "\n".join(lines)
         whole.update(text.split())
         eaten = -1
@@ -583,10 +600,11 @@ def items(pages: DataFrame, known: list[str]) -> DataFrame:
                 for k, toks, left, after, right in line_words(lines):
                     if left is not None and right is not None:
                         out.append((i, k + 1, after + 1, joined(left, right), left.strip(_STRIP).lower(), right.strip(_STRIP).lower(), None, None))
-                    if plain.issuperset(toks) or "=" in lines[k]:
+                    if plain.issuperset(toks):
                         continue
+                    formula = "=" in lines[k]
                     for j, tok in enumerate(toks):
-                        if tok in plain:
+                        if tok in plain or (formula and not prose(tok)):
                             continue
                         w = word_of(tok)
                         if w is None or w in sound:

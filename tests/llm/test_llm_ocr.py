@@ -95,6 +95,18 @@ def test_pages_without_a_pdf_have_no_neighbours(spark):
     assert texts[12].startswith("A linear title") and texts[22].startswith("The compact title")
 
 
+def test_words_beside_a_formula(spark):
+    """A misread word of a line with a formula is found and repaired; the formula itself holds none."""
+    prose = ["The estimator converges and the estimator of the harmonic operator converges."] * 9
+    rows = [(1, "pdfs/b.pdf", 1, "\n".join([*prose, "for x = 3 the estirnator converges, and f(x)=c0nverges_1 + tne of 0f", "tbe(x) = 0f + t0", *prose]), "w")]
+    r, got = found(spark, rows)
+    assert {(n, k) for _, n, k in got} == {(10, "misread")}
+    text = r.texts().collect()[0].text
+    assert "for x = 3 the estimator converges, and f(x)=c0nverges_1 + tne of 0f tbe(x) = 0f + t0" in text
+    whole, broken = ocr.count_words(["the value x = 3 gives the esti-\nmator f(y) = 2"])
+    assert broken["estimator"] == 1 and whole["value"] == 1 and "x" not in whole and "esti-" not in whole
+
+
 def test_empty(spark):
     r, got = found(spark, [])
     assert got == set() and r.texts().count() == 0
