@@ -40,6 +40,10 @@ def p4_portions(spark: SparkSession, d: str) -> DataFrame:
     return spans.Shared(read(spark, d, "source_file")).portions()
 
 
+def p4_groups(spark: SparkSession, d: str) -> DataFrame:
+    return spans.Shared(read(spark, d, "source_file")).members()
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return parsing.found(read(spark, d, "source_file"))
 
@@ -88,7 +92,7 @@ def p9_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_text_pieces, p3_found, p3_text, p4_found, p4_portions, p5_found, p5_files, p5_rates, p6_found, p6_rates, p7_ids, p8_mix, p8_shares, p9_found, p9_text)}
+    return {f.__name__: f for f in (p2_found, p2_text_pieces, p3_found, p3_text, p4_found, p4_portions, p4_groups, p5_found, p5_files, p5_rates, p6_found, p6_rates, p7_ids, p8_mix, p8_shares, p9_found, p9_text)}
 
 
 P2_FOUND = """

@@ -12,14 +12,17 @@ character by character. Runs of ``RUN`` characters and more, whose length differ
 their own at either end and at steps between. Runs of ``SHORT_RUN`` characters and more also name the ``BESIDE``
 characters before and after them: a span of ``SPAN`` characters that is cut inside a run at both ends holds those.
 
-Nothing is collected by group without a bound: symbols that stand in one text only are dropped by an aggregate, groups of
-up to ``GROUP`` occurrences are paired, and for larger groups the exact substrings of ``span`` characters around the
-occurrences are named and grouped instead, whose members do share a span. Copies of a text are one class throughout
-and are only expanded where pairs of records are the result.
-
-Defined cases: repeated rows of an id count once (latest ``loaded_at``); null, empty and shorter contents share
-nothing; lengths and positions are in code points, white space included; a record is not compared with itself; empty
-tables give empty results; extra columns are ignored.
+Every text is parsed once. A symbol that two texts of one batch share is known to be shared there and then, and but for
+one of its rows these are spread over the cluster; so a symbol that stands in a third of all texts meets in one task with
+one row a batch. Symbols that stand in one text only are dropped. Groups of up to ``GROUP`` occurrences are paired and
+verified; for larger groups all substrings of ``span`` characters around the occurrences get 124-bit names instead
+(residues of polynomials to four primes, which repetitive texts do not bring to collide) and are grouped by these. Of the
+substrings that stand in the same set of texts one is kept, so a header of any length is one group, not one a position.
+Copies of a text are one class throughout; ``members`` gives the groups as they are, ``pairs`` expands them, in parts.
+
+Defined cases: repeated rows of an id count once (latest ``loaded_at``), and a content that only superseded rows hold is
+nowhere; null, empty and shorter contents share nothing; lengths and positions are in code points, white space included;
+a record is not compared with itself; empty tables give empty results; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,6 +41,7 @@ STOP, ROUNDS = 8, 5
 HIGH, EVERY, RUN, EVERY_RUN = 80, 6, 64, 96
 SHORT_RUN, BESIDE = 16, 64  # between two parts of runs below RUN lie SPAN - 2 * (RUN - 1) = 74 characters or more
 GROUP = 64
+PART = 1024  # members of a group that meet all others in one task
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -189,13 +193,49 @@ def _classes(files: DataFrame, span: int) -> DataFrame:
     return files.where(F.length("content") >= span).select(content_class(F.col("content")).alias("cls"), "content")
 
 
+def _rows(names: tuple[np.ndarray, ...], owners: np.ndarray, at: np.ndarray, cls: list[bytes], first: np.ndarray | None = None) -> pa.RecordBatch:
+    """Rows of one batch for ``_shared``: (k1[, k2], cls, at, n1[, n2]). ``at`` holds place * 8 + first * 4 + flag: 0 for a
+    name that one text of the batch holds, 1 for one row of a name that several hold, 2 for their other rows; these are
+    keyed by name and text (``n`` keeps the name), all others by the name."""
+    order = np.lexsort(names[::-1])
+    sorted_ = [x[order] for x in names]
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in sorted_])
+    group = np.cumsum(new) - 1
+    own = owners[order]
+    begins = np.flatnonzero(new)
+    several = np.zeros(len(begins), bool)
+    if len(begins):
+        several = np.minimum.reduceat(own, begins) != np.maximum.reduceat(own, begins)
+    flag = np.where(several[group], np.where(new, 1, 2), 0)
+    spread_ = np.array([int.from_bytes(c[:8], "little") for c in cls], np.uint64)
+    key = np.where(flag == 2, mix(sorted_[0] ^ spread_[own]) if len(own) else sorted_[0], sorted_[0])
+    kept = pa.array(flag != 2)
+    place = at[order].astype(np.int64) * 8 + flag + (4 * first[order] if first is not None else 0)
+    n = len(names)
+    columns = [pa.array(key.view(np.int64)), *[pa.array(x.view(np.int64)) for x in sorted_[1:]], pa.array(cls, pa.binary()).take(pa.array(own, pa.int64())), pa.array(place)]
+    columns.append(pa.array(sorted_[0].view(np.int64), mask=np.asarray(kept)))
+    return pa.RecordBatch.from_arrays(columns, ["k1", *["k2"] * (n - 1), "cls", "at", "n1"])
+
+
+def _shared(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(name columns, cls, pos, first): rows of ``_rows`` whose name stands in two texts. One exchange, no self-join."""
+    w = Window.partitionBy(*keys)
+    flag, c = F.col("at").bitwiseAND(3), F.xxhash64("cls")
+    seen = rows.select("*", flag.alias("flag"), F.min(c).over(w).alias("lo"), F.max(c).over(w).alias("hi"), F.max(flag).over(w).alias("most"))
+    seen = seen.where("flag = 2 or most = 1 or lo <> hi")
+    return seen.select(F.coalesce("n1", "k1").alias("g1"), *[F.col(k).alias("g2") for k in keys[1:]], "cls", F.shiftright("at", 3).cast("int").alias("pos"), (F.col("at").bitwiseAND(4) > 0).alias("first"))
+
+
 def symbols(classes: DataFrame) -> DataFrame:
-    """(sym, cls, pos): high-level symbols of every text."""
+    """High-level symbols of every text, as ``_rows``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: set[bytes] = set()
-            ids, texts, size = [], [], 0
+            ids: list[bytes] = []
+            parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            texts, size, held = [], 0, 0
             rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
             for k, (c, t) in enumerate(rows):
                 if c not in seen:
@@ -203,13 +243,46 @@ def symbols(classes: DataFrame) -> DataFrame:
                     ids.append(c)
                     texts.append(t)
                     size += len(t)
-                if ids and (size > 500_000 or k + 1 == len(rows)):  # bounded memory
+                last = k + 1 == len(rows)
+                if texts and (size > 500_000 or last):  # bounded memory
                     names, owners, at = Parsed(texts).high()
-                    cls = pa.array(ids, pa.binary()).take(pa.array(owners, pa.int64()))
-                    yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), cls, pa.array(at.astype(np.int32))], ["sym", "cls", "pos"])
-                    ids, texts, size = [], [], 0
-
-    return spread(classes).mapInArrow(run, "sym bigint, cls binary, pos int")
+                    parts.append((names, owners + len(ids) - len(texts), at))
+                    held += len(names)
+                    texts, size = [], 0
+                if parts and (held > 2_000_000 or last):
+                    names, owners, at = (np.concatenate([p[i] for p in parts]) for i in range(3))
+                    yield _rows((names,), owners, at, ids)
+                    parts, held, ids = [], 0, []
+
+    return spread(classes).mapInArrow(run, "k1 bigint, cls binary, at bigint, n1 bigint")
+
+
+class Windows:
+    """124-bit names of all substrings of one length of a text: residues of a polynomial to four primes below 2**31."""
+
+    PRIMES = (2147483647, 2147483629, 2147483587, 2147483579)
+    BASES = (911382323, 1372383749, 572163841, 1948672301)
+    _powers: list[tuple[np.ndarray, np.ndarray]] = [(np.ones(1, np.int64), np.ones(1, np.int64)) for _ in PRIMES]
+
+    @classmethod
+    def powers(cls, i: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        p, (up, down) = cls.PRIMES[i], cls._powers[i]
+        while len(up) < n:
+            up = np.concatenate([up, up * pow(cls.BASES[i], len(up), p) % p])
+            down = np.concatenate([down, down * pow(cls.BASES[i], -len(down), p) % p])
+        cls._powers[i] = (up, down)
+        return up[:n], down[:n]
+
+    @classmethod
+    def names(cls, text: str, starts: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        got = []
+        for i, p in enumerate(cls.PRIMES):
+            up, down = cls.powers(i, len(points))
+            prefix = np.zeros(len(points) + 1, np.int64)
+            np.cumsum(points * up % p, out=prefix[1:])
+            got.append((prefix[starts + span] - prefix[starts]) % p * down[starts] % p)
+        return (got[0] | got[1] << 31).astype(np.uint64), (got[2] | got[3] << 31).astype(np.uint64)
 
 
 def _matches(a: str, b: str, seeds: list[tuple[int, int]], span: int) -> list[tuple[int, int, int]]:
@@ -251,6 +324,16 @@ def _texts(classes: DataFrame, wanted: DataFrame) -> DataFrame:
     return classes.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("content").alias("content"))
 
 
+def _met(groups: DataFrame, group: list[str], member: str) -> DataFrame:
+    """(a, b) of all two members a < b of each group. The rows are the result; a large group is cut into parts of about
+    ``PART`` members, each of which meets the whole group in a task of its own."""
+    n = groups.groupBy(*group).agg(F.greatest(F.lit(1), F.ceil(F.count("*") / PART)).cast("int").alias("parts")).where("parts > 1")
+    g = groups.join(n, group, "left").fillna(1, ["parts"])
+    a = g.select(*group, F.col(member).alias("a"), F.pmod(F.xxhash64(member), F.col("parts")).cast("int").alias("part"))
+    b = g.select(*group, F.col(member).alias("b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    return a.join(b, [*group, "part"]).where("a < b").select("a", "b")
+
+
 class Shared:
     """Spans of at least ``span`` characters that stand in two different contents."""
 
@@ -259,15 +342,16 @@ class Shared:
             raise ValueError(f"high-level symbols are made for spans of at least {SPAN} characters")
         self.files, self.span = files, span
         self.classes = _classes(files, span)
-        sym = symbols(self.classes)
-        # 64-bit names of the classes keep the aggregate in hash tables, without sorting
-        groups = sym.groupBy("sym").agg(F.min(F.xxhash64("cls")).alias("lo"), F.max(F.xxhash64("cls")).alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("sym", "n")
-        self.both = cut(sym.join(groups, "sym"))
+        self.ids = cut(self._ids())
+        live = self.ids.where(F.col("n_chars") >= span).select("cls").distinct()
+        both = _shared(symbols(self.classes), ["k1"]).select(F.col("g1").alias("sym"), "cls", "pos")
+        self.both = cut(both.join(live, "cls", "left_semi"))
+        self.hot = cut(self.both.groupBy("sym").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select("sym"))
 
     def spans(self) -> DataFrame:
         """(cls_a, cls_b, start_a, start_b, length) from groups of at most ``GROUP`` occurrences."""
         span = self.span
-        few = self.both.where(F.col("n") <= GROUP)
+        few = self.both.join(self.hot, "sym", "left_anti")
         group = few.groupBy("sym").agg(F.sort_array(F.collect_set(F.struct("cls", "pos"))).alias("g"))
         pair = group.select(F.posexplode("g").alias("i", "a"), "g").select("a", F.explode(F.slice("g", F.col("i") + 2, F.lit(GROUP))).alias("b")).where("a.cls < b.cls")
         pair = pair.groupBy(F.col("a.cls").alias("cls_a"), F.col("b.cls").alias("cls_b")).agg(F.collect_set(F.struct(F.col("a.pos").alias("i"), F.col("b.pos").alias("j"))).alias("seeds"))
@@ -288,46 +372,75 @@ class Shared:
         return rows.select("cls_a", "cls_b", "text_a", "text_b", "seeds").mapInArrow(run, "cls_a binary, cls_b binary, start_a int, start_b int, length int")
 
     def grams(self) -> DataFrame:
-        """(gram, cls, pos): the exact substrings of ``span`` characters around the occurrences of the larger groups that
-        stand in more than one content. Linear in the occurrences, whatever the size of a group."""
+        """(g1, g2, cls, pos, first): the exact substrings of ``span`` characters around the occurrences of the larger groups
+        that stand in more than one content; ``first`` in one row of each content. Linear in the occurrences, whatever the
+        size of a group."""
         span = self.span
-        many = self.both.where(F.col("n") > GROUP).groupBy("cls").agg(F.collect_set("pos").alias("at"))
+        many = self.both.join(self.hot, "sym", "left_semi").groupBy("cls").agg(F.collect_set("pos").alias("at"))
         text = _texts(self.classes, many.select("cls"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for c, t, at in zip(*[x.to_pylist() for x in batch.columns]):
-                    p = Parsed([t])
+                parts: list[tuple] = []
+                ids: list[bytes] = []
+                held = 0
+                rows = list(zip(*[x.to_pylist() for x in batch.columns]))
+                for k, (c, t, at) in enumerate(rows):
                     near = np.zeros(len(t) - span + 2, np.int32)
                     for i in at:
                         near[max(0, i - span + 1)] += 1
                         near[min(i, len(t) - span) + 1] -= 1
                     starts = np.flatnonzero(np.cumsum(near[:-1]) > 0)
-                    names = p.name(starts, starts + span)
-                    yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array([c] * len(starts), pa.binary()), pa.array(starts.astype(np.int32))], ["gram", "cls", "pos"])
+                    g1, g2 = Windows.names(t, starts, span)
+                    order = np.lexsort((starts, g2, g1))
+                    first = np.zeros(len(starts), np.int64)
+                    first[order] = np.concatenate([[True], (g1[order][1:] != g1[order][:-1]) | (g2[order][1:] != g2[order][:-1])])[: len(starts)]
+                    parts.append((g1, g2, np.full(len(starts), len(ids)), starts, first))
+                    ids.append(c)
+                    held += len(starts)
+                    if held > 1_000_000 or k + 1 == len(rows):
+                        g1, g2, owners, starts, first = (np.concatenate([p[i] for p in parts]) for i in range(5))
+                        yield _rows((g1, g2), owners, starts, ids, first)
+                        parts, ids, held = [], [], 0
 
-        all_ = many.join(text, "cls").select("cls", "content", "at").mapInArrow(run, "gram bigint, cls binary, pos int")
-        shared = all_.groupBy("gram").agg(F.min(F.xxhash64("cls")).alias("lo"), F.max(F.xxhash64("cls")).alias("hi")).where("lo <> hi").select("gram")
-        return all_.join(shared, "gram")
+        rows = many.join(text, "cls").select("cls", "content", "at").mapInArrow(run, "k1 bigint, k2 bigint, cls binary, at bigint, n1 bigint")
+        return _shared(rows, ["k1", "k2"])
 
-    def ids(self) -> DataFrame:
+    def _ids(self) -> DataFrame:
         """(file_id, cls, n_chars) of every record, its latest row."""
         rows = self.files.where("file_id is not null").select("file_id", "loaded_at", content_class(F.coalesce("content", F.lit(""))).alias("cls"), F.coalesce(F.length("content"), F.lit(0)).alias("n_chars"))
         return latest(rows, ["file_id"], "loaded_at").select("file_id", "cls", "n_chars")
 
+    def _groups(self) -> DataFrame:
+        """(g1, g2, cls): the contents that share a substring, one group for all substrings that the same contents hold."""
+        one = cut(self.grams().where("first").select("g1", "g2", "cls"))
+        of = one.groupBy("g1", "g2").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"))
+        kept = of.groupBy("n", "x", "y").agg(F.min(F.struct("g1", "g2")).alias("g")).select("g.g1", "g.g2")
+        return one.join(kept, ["g1", "g2"])
+
+    def members(self) -> DataFrame:
+        """(group_id, file_id): the records of each group whose contents hold one span, as linear rows: copies of a content,
+        two contents of a verified span, or all contents of a span that many hold. Two records share a span if and only
+        if they are together in a group."""
+        ids = self.ids.where(F.col("n_chars") >= self.span).select("file_id", "cls")
+        name = lambda *c: F.sha2(F.concat(*c), 256)
+        copied = ids.groupBy("cls").agg(F.count("*").alias("n")).where("n > 1").select("cls", name(F.col("cls")).alias("group_id"))
+        two = self.spans().select("cls_a", "cls_b").distinct().select(name(F.col("cls_a"), F.col("cls_b")).alias("group_id"), F.explode(F.array("cls_a", "cls_b")).alias("cls"))
+        many = self._groups().select(name(F.hex("g1"), F.lit(" "), F.hex("g2")).alias("group_id"), "cls")
+        groups = copied.select("group_id", "cls").unionByName(two).unionByName(many)
+        return groups.join(ids, "cls").select("group_id", "file_id")
+
     def pairs(self) -> DataFrame:
         """(a, b), a < b: records that share a span, copies of one content included. The classes' pairs are expanded to the
         pairs of records, which are the result."""
-        grams = cut(self.grams())
-        a, b = grams.select("gram", F.col("cls").alias("cls_a")).distinct(), grams.select("gram", F.col("cls").alias("cls_b")).distinct()
-        cls = self.spans().select("cls_a", "cls_b").unionByName(a.join(b, "gram").where("cls_a < cls_b").select("cls_a", "cls_b")).distinct()
-        ids = cut(self.ids().where(F.col("n_chars") >= self.span).select("file_id", "cls"))
+        ids = self.ids.where(F.col("n_chars") >= self.span).select("file_id", "cls")
+        many = _met(self._groups(), ["g1", "g2"], "cls").select(F.col("a").alias("cls_a"), F.col("b").alias("cls_b"))
+        cls = self.spans().select("cls_a", "cls_b").unionByName(many).distinct()
         x, y = ids.select(F.col("file_id").alias("x"), F.col("cls").alias("cls_a")), ids.select(F.col("file_id").alias("y"), F.col("cls").alias("cls_b"))
-        far = cls.join(x, "cls_a").join(y, "cls_b").select("x", "y")
+        far = cls.join(x, "cls_a").join(y, "cls_b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         copied = ids.groupBy("cls").agg(F.count("*").alias("n")).where("n > 1").select("cls")
-        same = ids.join(copied, "cls", "left_semi")
-        near = same.select("cls", F.col("file_id").alias("x")).join(same.select("cls", F.col("file_id").alias("y")), "cls").where("x < y").select("x", "y")
-        return far.unionByName(near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        # a record has one class and two classes one row, so no pair comes twice
+        return far.unionByName(_met(ids.join(copied, "cls", "left_semi"), ["cls"], "file_id"))
 
     def stretches(self) -> DataFrame:
         """(cls, start, stop): merged stretches of each content that stand in another one."""
@@ -344,7 +457,7 @@ class Shared:
 
     def portions(self) -> DataFrame:
         """(file_id, n_chars, copies, shared_chars, share) of every record: how much of it stands elsewhere."""
-        ids = cut(self.ids())
+        ids = self.ids
         n = ids.groupBy("cls").agg(F.count("*").alias("copies"))
         got = self.stretches().groupBy("cls").agg(F.sum(F.col("stop") - F.col("start")).alias("part"))
         rows = ids.join(n, "cls").join(got, "cls", "left")

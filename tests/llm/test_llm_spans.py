@@ -104,6 +104,48 @@ def test_pairs_and_portions_equal_brute_force(spark, monkeypatch, seed, group):
     assert {(r.a, r.b) for r in shared.pairs().collect()} == pairs and len(pairs) > 50
     got = {r.file_id: r.shared_chars for r in shared.portions().collect()}
     assert {k: v for k, v in got.items() if v} == covered and got[900] == 0
+    # the linear form says the same
+    groups = defaultdict(set)
+    for r in shared.members().collect():
+        groups[r.group_id].add(r.file_id)
+    assert {(a, b) for g in groups.values() for a in g for b in g if a < b} == pairs
+
+
+def test_superseded_content_is_nowhere(spark):
+    random.seed(9)
+    a, b = ("".join(random.choice("abcdefgh ") for _ in range(600)) for _ in range(2))
+    rows = [(1, 0, a[:400], "x"), (1, 1, a, "x"), (2, 0, b, "x"), (2, 1, "other " * 40, "x"), (3, 1, b, "x")]
+    shared = spans.Shared(spark.createDataFrame(rows, FILES))
+    assert shared.pairs().count() == 0
+    assert {r.file_id: (r.n_chars, r.shared_chars) for r in shared.portions().collect()} == {1: (600, 0), 2: (240, 0), 3: (600, 0)}
+
+
+@pytest.mark.parametrize("group", [64, 1])
+def test_texts_that_polynomials_of_machine_words_confuse(spark, monkeypatch, group):
+    """A text of 1,024 characters after the sequence of bit parities and its complement have one name modulo 2**64."""
+    monkeypatch.setattr(spans, "GROUP", group)
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    a, b = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+    p = spans.Parsed([a, b])
+    assert p.name(p.begins[:1], p.begins[1:2]) == p.name(p.begins[1:2], p.begins[2:3])
+    one, two = (spans.Windows.names(t, spans.np.array([0]), 1024) for t in (a, b))
+    assert one != two
+    df = spark.createDataFrame([(1, 1, a, "x"), (2, 1, b, "x"), (3, 1, "(" + a, "x")], FILES)
+    assert sorted(map(tuple, spans.Shared(df, 1024).pairs().collect())) == [(1, 3)]
+    assert {r.file_id: r.shared_chars for r in spans.Shared(df, 1024).portions().collect()} == {1: 1024, 2: 0, 3: 1024}
+
+
+def test_header_of_many_files_is_one_group(spark):
+    random.seed(10)
+    text = lambda m: "".join(random.choice("abcdefghijklm  \n") for _ in range(m))
+    head, n = text(1000), 5000
+    rows = [(k, 1, head + text(250), "x") for k in range(n)]
+    shared = spans.Shared(spark.createDataFrame(rows, FILES))
+    groups = shared.members().groupBy("group_id").count().collect()
+    # and smaller ones of the files whose own text happens to begin alike
+    assert max(r["count"] for r in groups) == n and len(groups) < n / 2
+    assert shared.pairs().count() == n * (n - 1) // 2
+    assert {r.shared_chars for r in shared.portions().select("shared_chars").distinct().collect()} <= set(range(1000, 1010))
 
 
 def cut_rules(seed, n, left, right, sign="="):
