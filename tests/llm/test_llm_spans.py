@@ -138,7 +138,7 @@ def test_texts_that_polynomials_of_machine_words_confuse(spark, monkeypatch, gro
 def test_header_of_many_files_is_one_group(spark):
     random.seed(10)
     text = lambda m: "".join(random.choice("abcdefghijklm  \n") for _ in range(m))
-    head, n = text(1000), 5000
+    head, n = text(1000), 2500
     rows = [(k, 1, head + text(250), "x") for k in range(n)]
     shared = spans.Shared(spark.createDataFrame(rows, FILES))
     groups = shared.members().groupBy("group_id").count().collect()
