@@ -3,16 +3,18 @@
 Stages, none of which moves whole texts but the last:
 
 1. ``words``: one scan counts words; words broken at a line end are counted apart, joined. Combined per partition.
-2. ``repairs``: symmetric-delete index. Each word gives its keys (one character or two neighbours deleted); words that
-   share a key are candidates, a weighted edit distance with confusion pairs keeps those that differ by one misreading,
-   and a candidate must be much more frequent than the word. Everything is joined by key on distinct words.
+2. ``repairs``: symmetric-delete index. Each word gives its keys (one character or a confusion's side deleted, with the
+   gap's place and strokes); words that share a key are candidates, a weighted edit distance with confusion pairs keeps
+   those that differ by one misreading, and a candidate must be much more frequent than the word. Everything is joined by
+   key on distinct words.
 3. ``edges`` -> ``layout``: the first and last lines of each page meet those of the pages around it in blocks of pages
    (with a margin), so a pdf that holds a third of the pages is many small groups. Running titles are found by
    signatures that misreadings do not change, page numbers by the pdf's own offset, voted by all its pages.
 4. ``items``: a second scan sends only line-end hyphens and words that are not in a bounded list of the most frequent
    sound words; all others are looked up in the distributed word table by joins, so the bound changes no result.
-5. ``pages`` joins repairs to the texts once and writes paragraphs; among several candidates the bigrams with the words
-   beside it pick.
+5. ``texts`` joins repairs to the texts once and writes paragraphs; among several candidates, of whole words and of words
+   broken at a line or page end, the bigrams with the words beside it pick. ``found`` asks them where the candidates
+   disagree about the line that holds the misreading.
 
 Defined cases
 -------------
@@ -21,6 +23,7 @@ Defined cases
 * ties between candidates: lower cost, then higher count, then code point order.
 * tokens of more than 64 characters are not words; in lines with ``=`` only tokens with three letters or more and no signs
   of a formula are words, the rest is the formula.
+* two scans of one page number: both go on in the next page's first scan, neither in the other.
 * a word broken at the end of a page goes on in the first body line of the next page number of its pdf that has text
   within four pages; if there is none, the part decides: a part that only begins compounds is no broken word.
 * empty tables give empty results; extra columns are ignored.
@@ -35,7 +38,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.cluster import cut, spread
@@ -44,6 +47,7 @@ BLOCK, MARGIN, EDGE = 64, 8, 3
 RATIO = 8  # a repair is at least so many times as frequent as the word
 KNOWN = 200_000  # sound words that a scan gets as a filter; the rest is looked up by join
 LONGEST = 64
+COUNTED = 1_000_000  # distinct words, or pairs of words, that a task counts before it hands the counts on
 LONG = 300  # of a longer edge line only the ends are sent
 
 HYPHENS = "-‐­¬‑"
@@ -137,35 +141,59 @@ def count_words(texts: list[str | None]) -> tuple[Counter, Counter]:
     return +whole, broken
 
 
-def words(pages: DataFrame) -> DataFrame:
-    """(word, n, broken): how often a word stands whole, and joined from two lines."""
+def words(pages: DataFrame, tails: DataFrame | None = None) -> DataFrame:
+    """(word, n, broken): how often a word stands whole, and joined from two lines; ``tails`` gives those joined from two
+    pages, one row each."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole: Counter = Counter()
-        broken: Counter = Counter()
-        for batch in batches:
-            w, b = count_words(batch.column(0).to_pylist())
-            whole.update(w)
-            broken.update(b)
+    def counts(whole: Counter, broken: Counter) -> pa.RecordBatch:
         total: dict[str, list[int]] = {}
         for source, at in ((whole, 0), (broken, 1)):
             for token, n in source.items():
                 if (w := word_of(token)) is not None:
                     total.setdefault(w, [0, 0])[at] += n
         keys = list(total)
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.array(keys, pa.string()), pa.array([total[k][0] for k in keys], pa.int64()), pa.array([total[k][1] for k in keys], pa.int64())], ["word", "n", "broken"]
         )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole: Counter = Counter()
+        broken: Counter = Counter()
+        for batch in batches:
+            w, b = count_words(batch.column(0).to_pylist())
+            whole.update(w)
+            broken.update(b)
+            if len(whole) + len(broken) > COUNTED:
+                yield counts(whole, broken)
+                whole, broken = Counter(), Counter()
+        yield counts(whole, broken)
+
     parts = spread(pages.select("text")).mapInArrow(run, "word string, n bigint, broken bigint")
+    if tails is not None:
+        long = F.length("word").between(2, LONGEST) & F.col("word").rlike(r"\p{L}")
+        parts = parts.unionByName(tails.where(long).select("word", F.lit(0).cast("bigint").alias("n"), F.lit(1).cast("bigint").alias("broken")))
     return parts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("broken").alias("broken"))
 
 
+def bare_word(token: Column) -> Column:
+    """A token without punctuation, lower case; empty for null."""
+    return F.lower(F.regexp_replace(F.coalesce(token, F.lit("")), r"""^[.,;:()"'\[\]{}“”‘’?]+|[.,;:()"'\[\]{}“”‘’?]+$""", ""))
+
+
 # --- symmetric deletes and weighted edit distance ------------------------------------------------------------------
+_PARTS = {x for pair in PAIRS for x in pair}
+
+
 def delete_keys(word: str) -> set[str]:
-    """The word's keys: one character, or two neighbours, deleted; and its collapsed form, for several misreadings."""
-    n = len(word)
-    return {word[:i] + word[i + 1 :] for i in range(n)} | {word[:i] + word[i + 2 :] for i in range(n - 1)} | {"\0" + collapsed(word)}
+    """The word's keys: what is left of it when one character, or the one or two of a confusion pair's side, are deleted,
+    with the gap's place and, of a confusion, the strokes of what stood there; and its collapsed form, for several
+    misreadings. Words that share a key differ in that gap alone, so no key is common to all short words."""
+    keys = {"\0" + collapsed(word)}
+    for i in range(len(word)):
+        keys.add(word[:i] + "\1" + word[i + 1 :])
+        for part in {word[i : i + 1], word[i : i + 2]} & _PARTS:
+            keys.add(word[:i] + "\2" + collapsed(part) + word[i + len(part) :])
+    return keys
 
 
 #: Confusable characters by their strokes: members of a confusion pair give the same strokes.
@@ -235,10 +263,13 @@ def repairs(table: DataFrame) -> DataFrame:
                     out[2].append(n)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], pa.int64())], ["key", "word", "n"])
 
-    index = table.select("word", "n").mapInArrow(keys, "key string, word string, n bigint")
+    index = cut(table.select("word", "n").mapInArrow(keys, "key string, word string, n bigint"))
     # a repair is a word of letters that stands whole somewhere
     good = index.where("n > 0").where(~F.col("word").rlike(r"[^\p{L}'’-]")).select("key", F.col("word").alias("repair"), F.col("n").alias("n_repair"))
     odd = F.col("word").rlike(r"[^\p{L}'’-]")
+    # a gap of any character can only be read where a sign or digit stands in it: the other words' gaps are the printed side
+    gap = F.instr("key", "\1")
+    index = index.where((gap == 0) | ~F.substr("word", gap, F.lit(1)).rlike(r"\p{L}"))
     near = index.join(good, "key").where((F.col("word") != F.col("repair")) & (F.col("n_repair") >= F.when(odd, F.col("n") + 1).otherwise(RATIO * F.greatest("n", F.lit(1)))))
     near = near.select("word", "repair", "n_repair").distinct()
 
@@ -254,9 +285,9 @@ def repairs(table: DataFrame) -> DataFrame:
 
 
 def judged_words(table: DataFrame) -> DataFrame:
-    """The word table with each word's best repair (null for a sound word) and all its candidates."""
+    """The word table with each word's best repair (null for a sound word) and all its candidates with the place they repair."""
     cand = repairs(table).groupBy("word").agg(
-        F.min(F.struct("cost", (-F.col("n_repair")).alias("m"), "repair", "at")).alias("b"), F.collect_set("repair").alias("candidates")
+        F.min(F.struct("cost", (-F.col("n_repair")).alias("m"), "repair", "at")).alias("b"), F.collect_set(F.struct("repair", "at")).alias("candidates")
     )
     out = table.join(cand, "word", "left")
     return out.select("word", "n", "broken", F.col("b.repair").alias("repair"), (-F.col("b.m")).alias("n_repair"), F.col("b.at").alias("at"), "candidates")
@@ -540,8 +571,11 @@ def layout(pages: DataFrame, sections: DataFrame, chapters: DataFrame) -> DataFr
     )
     named = named.select("pdf", "t", F.explode(F.array("b0", F.col("b0") + 1)).alias("blk"))
     ranges = chapters.where("book is not null and title is not null and start_page is not null and end_page >= start_page").select(
-        pdf, F.struct("title", F.lit(None).cast("int").alias("page")).alias("t"), F.explode(F.sequence(F.floor(F.col("start_page") / BLOCK), F.floor(F.col("end_page") / BLOCK))).alias("blk")
+        pdf, F.struct("title", F.lit(None).cast("int").alias("page")).alias("t"), F.floor(F.col("start_page") / BLOCK).alias("b0"), F.floor(F.col("end_page") / BLOCK).alias("b1")
     )
+    # blocks that hold pages, of the chapter's pdf: a chapter's last page may be anything
+    held = halo.groupBy("pdf", "blk").agg(F.count("*").alias("n")).select("pdf", "blk")
+    ranges = ranges.join(held, "pdf").where("blk between b0 and b1").select("pdf", "t", "blk")
     titles = named.unionByName(ranges).distinct().groupBy("pdf", "blk").agg(F.collect_list("t").alias("titles"))
     blocks = blocks.join(offsets, "pdf", "left").join(titles, ["pdf", "blk"], "left").select("rows", "offsets", "titles")
     # without a pdf a page is a group of its own; no offsets or titles are known of it
@@ -560,27 +594,30 @@ def layout(pages: DataFrame, sections: DataFrame, chapters: DataFrame) -> DataFr
                         mine.add(row[0])
                 order = sorted(parsed.values(), key=lambda x: (x[1] is None, x[1] or 0, x[0]))
                 sheets = lay_out(order, {v[0]: int(v[1:]) for v in offs or ()}, [(t["title"], t["page"]) for t in tts or ()])
-                for s, follow in zip(sheets, [*sheets[1:], None]):
+                for k, s in enumerate(sheets):
                     if s.ocr_id not in mine:
                         continue
+                    # a second scan of the same page is no next page
+                    follow = next((x for x in sheets[k + 1 :] if x.page is None or s.page is None or x.page > s.page), None)
                     tail = None
                     if s.last is not None:
                         toks = s.last[1].split()
                         if toks and toks[-1][-1] in HYPHENS and len(toks[-1]) > 1 and toks[-1][-2].isalnum():
-                            tail = {"line_no": s.last[0], "left": toks[-1][:-1], "next_id": None, "next_line": None, "right": None}
+                            tail = {"line_no": s.last[0], "left": toks[-1][:-1], "next_id": None, "next_line": None, "right": None, "prev": word_of(toks[-2]) if len(toks) > 1 else None, "follow": None}
                             if follow is not None and follow.first is not None and s.page is not None and follow.page is not None and 0 < follow.page - s.page <= 4:
-                                tail |= {"next_id": follow.ocr_id, "next_line": follow.first[0], "right": follow.first[1].split()[0]}
+                                there = follow.first[1].split()
+                                tail |= {"next_id": follow.ocr_id, "next_line": follow.first[0], "right": there[0], "follow": word_of(there[1]) if len(there) > 1 else None}
                     ids.append(s.ocr_id)
                     drops.append(list(s.drop.items()))
                     tails.append(tail)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(drops, pa.map_(pa.int32(), pa.string())), pa.array(tails, _TAIL)], ["ocr_id", "drop", "tail"])
 
     return blocks.mapInArrow(
-        run, "ocr_id bigint, drop map<int,string>, tail struct<line_no:int,left:string,next_id:bigint,next_line:int,right:string>"
+        run, "ocr_id bigint, drop map<int,string>, tail struct<line_no:int,left:string,next_id:bigint,next_line:int,right:string,prev:string,follow:string>"
     )
 
 
-_TAIL = pa.struct([("line_no", pa.int32()), ("left", pa.string()), ("next_id", pa.int64()), ("next_line", pa.int32()), ("right", pa.string())])
+_TAIL = pa.struct([("line_no", pa.int32()), ("left", pa.string()), ("next_id", pa.int64()), ("next_line", pa.int32()), ("right", pa.string()), ("prev", pa.string()), ("follow", pa.string())])
 
 
 # --- items: what a scan sends to be looked up ------------------------------------------------------------------------
@@ -599,7 +636,9 @@ def items(pages: DataFrame, known: list[str]) -> DataFrame:
                 lines = text.split("\n")
                 for k, toks, left, after, right in line_words(lines):
                     if left is not None and right is not None:
-                        out.append((i, k + 1, after + 1, joined(left, right), left.strip(_STRIP).lower(), right.strip(_STRIP).lower(), None, None))
+                        beyond = lines[after].split(None, 2)[1:2]
+                        beside = (word_of(toks[-1]) if toks else None, word_of(beyond[0]) if beyond else None)
+                        out.append((i, k + 1, after + 1, joined(left, right), left.strip(_STRIP).lower(), right.strip(_STRIP).lower(), *beside))
                     if plain.issuperset(toks):
                         continue
                     formula = "=" in lines[k]
@@ -628,29 +667,30 @@ class Repair:
 
     def __init__(self, pages: DataFrame, sections: DataFrame, chapters: DataFrame) -> None:
         self.pages = pages.select("ocr_id", "pdf", "page_num", "text")
-        self.table = cut(judged_words(cut(words(self.pages))))
-        known = [r.word for r in self.table.where("repair is null and n > 0").orderBy(F.desc("n"), "word").limit(KNOWN).select("word").collect()]
         self.layout = cut(layout(self.pages, sections, chapters))
+        tails = self.layout.where("tail.right is not null").select(F.concat(bare_word(F.col("tail.left")), bare_word(F.col("tail.right"))).alias("word"))
+        self.table = cut(judged_words(cut(words(self.pages, tails))))
+        known = [r.word for r in self.table.where("repair is null and n > 0").orderBy(F.desc("n"), "word").limit(KNOWN).select("word").collect()]
         self.items = cut(items(self.pages, known))
 
     def breaks(self) -> DataFrame:
-        """Every word broken at a line end between body lines, judged: hyphen or compound, and its misreading."""
+        """Every word broken at a line end between body lines, judged: hyphen or compound, its misreading by cost and count
+        (``fix``, which repairs place ``fix_at``) and all candidates for it."""
         lay = self.layout.select("ocr_id", "drop", "tail")
         inner = self.items.where("lft is not null").join(lay, "ocr_id")
         inner = inner.where("not coalesce(map_contains_key(drop, line_no) or map_contains_key(drop, next_line), false)").select(
-            "ocr_id", "line_no", F.col("ocr_id").alias("next_id"), "next_line", "word", "lft", "rgt"
+            "ocr_id", "line_no", F.col("ocr_id").alias("next_id"), "next_line", "word", "lft", "rgt", "prev", "follow"
         )
-        word = lambda c: F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"""^[.,;:()"'\[\]{}“”‘’?]+|[.,;:()"'\[\]{}“”‘’?]+$""", ""))
         ends = lay.where("tail is not null").select(
-            "ocr_id", "tail.line_no", "tail.next_id", "tail.next_line", F.concat(word(F.col("tail.left")), word(F.col("tail.right"))).alias("word"), word(F.col("tail.left")).alias("lft"),
-            F.when(F.col("tail.right").isNotNull(), word(F.col("tail.right"))).alias("rgt"),
+            "ocr_id", "tail.line_no", "tail.next_id", "tail.next_line", F.concat(bare_word(F.col("tail.left")), bare_word(F.col("tail.right"))).alias("word"), bare_word(F.col("tail.left")).alias("lft"),
+            F.when(F.col("tail.right").isNotNull(), bare_word(F.col("tail.right"))).alias("rgt"), "tail.prev", "tail.follow",
         )
         # a page's last body line is judged by its tail alone
         inner = inner.join(ends.select("ocr_id", "line_no"), ["ocr_id", "line_no"], "left_anti")
         both = inner.unionByName(ends).withColumn("compound", F.concat_ws("-", "lft", "rgt"))
-        t = self.table.select("word", "n", "repair", "n_repair", "at")
+        t = self.table.select("word", "n", "repair", "n_repair", "at", "candidates")
         both = both.join(t, "word", "left").withColumn("n_word", F.when(F.col("repair").isNull(), F.coalesce("n", F.lit(0))).otherwise(F.col("n_repair")))
-        c = t.select(F.col("word").alias("compound"), F.coalesce(F.when(F.col("repair").isNull(), F.col("n")).otherwise(F.col("n_repair")), F.lit(0)).alias("n_comp"), F.col("repair").alias("c_repair"), F.col("at").alias("c_at"))
+        c = t.select(F.col("word").alias("compound"), F.coalesce(F.when(F.col("repair").isNull(), F.col("n")).otherwise(F.col("n_repair")), F.lit(0)).alias("n_comp"), F.col("repair").alias("c_repair"), F.col("at").alias("c_at"), F.col("candidates").alias("c_candidates"))
         both = both.join(c, "compound", "left").fillna(0, ["n_word", "n_comp"])
         first = self.table.where("repair is null and n > 0").select(F.regexp_extract("word", r"^([^-]+)-\p{L}", 1).alias("lft"), "n").where("lft <> ''").groupBy("lft").agg(F.sum("n").alias("n_first"))
         both = both.join(first, "lft", "left").fillna(0, ["n_first"])
@@ -660,7 +700,26 @@ class Repair:
             .when((F.col("n_word") > 0) | (F.col("n_comp") > 0), F.col("n_word") > F.col("n_comp"))
             .otherwise(F.col("n_first") == 0)
         )
-        return both.withColumn("hyphen", hyphen)
+        both = both.withColumn("hyphen", hyphen)
+        either = lambda a, b: F.when(F.col("hyphen"), F.col(a)).otherwise(F.col(b))
+        # the left part holds the places below its length; a compound's own hyphen is on its line, too
+        own = F.length("lft") + F.when(F.col("hyphen"), 0).otherwise(1)
+        return both.select(
+            "ocr_id", "line_no", "next_id", "next_line", "rgt", "hyphen", "prev", "follow", either("word", "compound").alias("word"), either("repair", "c_repair").alias("fix"), either("at", "c_at").alias("fix_at"),
+            either("candidates", "c_candidates").alias("candidates"), own.alias("own"),
+        )
+
+    def read_breaks(self, lines_only: bool) -> DataFrame:
+        """``breaks`` with the candidate that the words beside it pick. With ``lines_only`` only where candidates disagree
+        about the line that holds the misreading: the others name the same case."""
+        br = cut(self.breaks().distinct())
+        many = F.size(F.coalesce("candidates", F.array())) > 1
+        if lines_only:
+            many = many & F.exists("candidates", lambda x: x["at"] < F.col("own")) & F.exists("candidates", lambda x: x["at"] >= F.col("own"))
+        got = self.pick(br.where(many).select("ocr_id", "line_no", "word", F.col("fix").alias("repair"), "candidates", "prev", "follow"))
+        got = got.select("ocr_id", "line_no", F.col("repair").alias("picked"), F.col("at").alias("picked_at"))
+        br = br.join(got, ["ocr_id", "line_no"], "left")
+        return br.withColumn("fix", F.coalesce("picked", "fix")).withColumn("fix_at", F.coalesce("picked_at", "fix_at")).drop("picked", "picked_at", "candidates")
 
     def misread_words(self) -> DataFrame:
         """Every misread whole word in a body line: (ocr_id, line_no, word, repair, candidates, prev, follow)."""
@@ -669,13 +728,10 @@ class Repair:
 
     def found(self) -> DataFrame:
         lines = self.layout.select("ocr_id", F.explode("drop").alias("line_no", "kind"))
-        breaks = self.breaks()
-        bad = F.col("hyphen") & F.col("repair").isNotNull()
-        bad_c = ~F.col("hyphen") & F.col("c_repair").isNotNull()
-        left = (bad & (F.col("at") < F.length("lft"))) | (bad_c & (F.col("c_at") <= F.length("lft")))
+        bad, left = F.col("fix").isNotNull(), F.col("fix_at") < F.col("own")
         here, there = F.struct(F.col("ocr_id"), F.col("line_no"), F.lit("misread").alias("kind")), F.struct(F.col("next_id").alias("ocr_id"), F.col("next_line").alias("line_no"), F.lit("misread").alias("kind"))
-        case = F.array_compact(F.array(F.when(F.col("hyphen"), F.struct("ocr_id", "line_no", F.lit("hyphen").alias("kind"))), F.when(left, here).when((bad | bad_c) & F.col("next_id").isNotNull(), there)))
-        cases = breaks.select(F.explode(case).alias("c")).select("c.*")
+        case = F.array_compact(F.array(F.when(F.col("hyphen"), F.struct("ocr_id", "line_no", F.lit("hyphen").alias("kind"))), F.when(bad & left, here).when(bad & F.col("next_id").isNotNull(), there)))
+        cases = self.read_breaks(lines_only=True).select(F.explode(case).alias("c")).select("c.*")
         words_ = self.misread_words().select("ocr_id", "line_no", F.lit("misread").alias("kind"))
         return lines.unionByName(cases).unionByName(words_).where("ocr_id is not null").distinct()
 
@@ -688,7 +744,15 @@ class Repair:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keep, total = shared.value, Counter()
             bare = str.maketrans("", "", _STRIP)
+
+            def counts() -> pa.RecordBatch:
+                keys = list(total)
+                return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(list(total.values()), pa.int64())], ["a", "b", "n"])
+
             for batch in batches:
+                if len(total) > COUNTED:
+                    yield counts()
+                    total.clear()
                 for text in batch.column(0).to_pylist():
                     if not text:
                         continue
@@ -698,39 +762,52 @@ class Repair:
                         continue
                     after = [*seen[1:], None]
                     total.update([(w, x) for w, x in zip(seen, after) if x is not None and (w in keep or x in keep)])
-            keys = list(total)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(list(total.values()), pa.int64())], ["a", "b", "n"])
+            yield counts()
 
         parts = spread(self.pages.select("text")).mapInArrow(run, "a string, b string, n bigint")
         return parts.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
-    def picked(self) -> DataFrame:
-        """(ocr_id, line_no, word, repair): the repair of each misread word, among several by the words beside it."""
-        bad = cut(self.misread_words().distinct())
-        one = bad.where(F.size("candidates") < 2).select("ocr_id", "line_no", "word", "repair")
-        many = bad.where(F.size("candidates") > 1).select("*", F.explode("candidates").alias("c"))
+    def pick(self, rows: DataFrame) -> DataFrame:
+        """(ocr_id, line_no, word, repair, at): of each row's candidates the one that stands most often beside the row's
+        neighbours; without any such pair the best by cost and count."""
+        many = cut(rows.select("*", F.explode("candidates").alias("c")).select("ocr_id", "line_no", "word", "prev", "follow", "repair", F.col("c.repair").alias("c"), F.col("c.at").alias("at")))
         # a filter of bounded size; beyond it all pairs are counted, with the same result
         words_ = [r.c for r in many.select("c").distinct().limit(KNOWN + 1).collect()]
+        if not words_:  # nothing to pick from, nothing to count
+            return many.select("ocr_id", "line_no", "word", "repair", "at")
         pairs = self.bigrams(words_ if len(words_) <= KNOWN else None)
         many = many.join(pairs.select(F.col("a").alias("prev"), F.col("b").alias("c"), F.col("n").alias("n1")), ["prev", "c"], "left")
         many = many.join(pairs.select(F.col("a").alias("c"), F.col("b").alias("follow"), F.col("n").alias("n2")), ["c", "follow"], "left")
         score = F.log1p(F.coalesce("n1", F.lit(0))) + F.log1p(F.coalesce("n2", F.lit(0)))
-        # without any bigram the best by cost and count stands
-        many = many.groupBy("ocr_id", "line_no", "word").agg(F.max_by("c", F.struct(score, F.col("c") == F.col("repair"), "c")).alias("repair"))
-        return one.unionByName(many)
+        best = many.groupBy("ocr_id", "line_no", "word").agg(F.max_by(F.struct("c", "at"), F.struct(score, F.col("c") == F.col("repair"), "c")).alias("x"))
+        return best.select("ocr_id", "line_no", "word", F.col("x.c").alias("repair"), F.col("x.at").alias("at"))
+
+    def picked(self) -> tuple[DataFrame, DataFrame]:
+        """(misread whole words with the repair picked, broken words likewise): one count of pairs serves both."""
+        bad = cut(self.misread_words().distinct())
+        br = cut(self.breaks().distinct())
+        one = bad.where(F.size("candidates") < 2).select("ocr_id", "line_no", "word", "repair")
+        cols = ["ocr_id", "line_no", "word", "repair", "candidates", "prev", "follow"]
+        many = F.size(F.coalesce("candidates", F.array())) > 1
+        # the line's number tells the two apart: negative for broken words
+        rows = bad.where(many).select(*cols).unionByName(br.where(many).select("ocr_id", (-F.col("line_no")).alias("line_no"), "word", F.col("fix").alias("repair"), *cols[4:]))
+        got = cut(self.pick(rows))
+        words_ = one.unionByName(got.where("line_no > 0").drop("at"))
+        fixed = got.where("line_no < 0").select("ocr_id", (-F.col("line_no")).alias("line_no"), F.col("repair").alias("picked"))
+        return words_, br.join(fixed, ["ocr_id", "line_no"], "left").withColumn("fix", F.coalesce("picked", "fix"))
 
     def texts(self) -> DataFrame:
         """(ocr_id, pdf, page_num, paragraphs, text): body paragraphs of each page; a word broken at the page's end stands
         whole here and is left out of the next page."""
-        br = cut(self.breaks())
+        words_, br = self.picked()
         note = lambda *c: F.struct(*[x.alias(n) for x, n in zip(c, ("line_no", "kind", "a", "b"))])
         none = F.lit(None).cast("string")
         ends = self.layout.where("tail is not null and tail.right is not null").select("ocr_id", F.col("tail.line_no").alias("line_no"), F.col("tail.right").alias("raw"))
         raw = br.join(ends, ["ocr_id", "line_no"], "left")
         notes = (
             self.layout.select("ocr_id", F.explode("drop").alias("line_no", "kind")).select("ocr_id", note(F.col("line_no"), F.lit("drop"), none, none).alias("x"))
-            .unionByName(self.picked().select("ocr_id", note(F.col("line_no"), F.lit("word"), F.col("word"), F.col("repair")).alias("x")))
-            .unionByName(raw.where("rgt is not null").select("ocr_id", note(F.col("line_no"), F.when(F.col("hyphen"), "join").otherwise("compound"), F.when(F.col("hyphen"), F.col("repair")).otherwise(F.col("c_repair")), F.col("raw")).alias("x")))
+            .unionByName(words_.select("ocr_id", note(F.col("line_no"), F.lit("word"), F.col("word"), F.col("repair")).alias("x")))
+            .unionByName(raw.where("rgt is not null").select("ocr_id", note(F.col("line_no"), F.when(F.col("hyphen"), "join").otherwise("compound"), F.col("fix"), F.col("raw")).alias("x")))
             .unionByName(raw.where("raw is not null and next_id is not null").select(F.col("next_id").alias("ocr_id"), note(F.col("next_line"), F.lit("eaten"), none, none).alias("x")))
         )
         notes = notes.groupBy("ocr_id").agg(F.collect_set("x").alias("notes"))

@@ -95,6 +95,34 @@ def test_pages_without_a_pdf_have_no_neighbours(spark):
     assert texts[12].startswith("A linear title") and texts[22].startswith("The compact title")
 
 
+def test_words_beside_pick_the_line_and_the_repair_of_a_broken_word(spark):
+    """Two candidates repair different halves: by count alone the more frequent one would stand."""
+    prose = ["They saw the hockey of the others there."] * 30 + ["The first alpha bockcy beta was seen there."] * 20
+    for tail, head in (("hoc-\n", "kcy beta was found there."), ("hoc-", "kcy beta was found there.")):
+        rows = [(1, "pdfs/b.pdf", 1, "\n".join([*prose, "The second alpha " + tail + (head if tail[-1] == "\n" else "")]), "w")]
+        if tail[-1] != "\n":
+            rows.append((2, "pdfs/b.pdf", 2, "\n".join([head, *prose]), "w"))
+        r, got = found(spark, rows)
+        assert {c for c in got if c[2] in ("misread", "hyphen")} == {(1, 51, "misread"), (1, 51, "hyphen")}
+        assert "The second alpha bockcy" in {x.ocr_id: x.text for x in r.texts().collect()}[1]
+
+
+def test_two_scans_of_a_page_and_absurd_ranges(spark):
+    last = "theorem gives a compact distribution with several symmetric factoriza-"
+    one = "\n".join([*BODY, last])
+    rows = [(1, "pdfs/b.pdf", 1, one, "w"), (2, "pdfs/b.pdf", 1, one + " ", "w"), (3, "pdfs/b.pdf", 2, "\n".join(["tions there. A linear", *BODY]), "w"), (4, "pdfs/b.pdf", 3, "Symmetric factorizations there.", "w")]
+    r, got = found(spark, rows, chapters=[("b", 1, "Compact measures", 1, 2**31 - 1), ("b", 2, "Linear", -(2**31), 5)])
+    assert {(i, n) for i, n, k in got if k == "hyphen"} == {(1, 4), (2, 4)}
+    texts = {x.ocr_id: x.text for x in r.texts().collect()}
+    assert texts[1].endswith("symmetric factorizations") and texts[2].endswith("symmetric factorizations") and texts[3].startswith("there. A linear")
+
+
+def test_keys_of_short_words_are_their_own():
+    words = [a + b for a in "abcdefghijklmnop" for b in "abcdefghijklmnop"]
+    share = sum(bool(ocr.delete_keys("it") & ocr.delete_keys(w)) for w in words)
+    assert share < 40 and all(ocr.delete_keys(x) & ocr.delete_keys(y) for x, y in (("1t", "it"), ("%t", "it"), ("rn", "m"), ("cl", "d")))
+
+
 def test_words_beside_a_formula(spark):
     """A misread word of a line with a formula is found and repaired; the formula itself holds none."""
     prose = ["The estimator converges and the estimator of the harmonic operator converges."] * 9
