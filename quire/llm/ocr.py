@@ -36,6 +36,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -60,6 +61,7 @@ PAIRS = {tuple(reversed(p.split())) for row in CONFUSIONS.strip().split("\n") fo
 PAIRS = {(read, printed) for read, printed in PAIRS}
 _STRIP = ".,;:()\"'[]{}“”‘’?"
 _ODD = re.compile(r"[^\W\d_]")
+_ODD_SIGN = re.compile(r"[^\w'’-]|[\d_]")
 _HEADING = re.compile(r"^\s*\d{1,3}\.\d{1,3}\.?\s+\S")
 _CLOSED = re.compile(r"[.,;:?!]$")
 
@@ -255,22 +257,24 @@ def repairs(table: DataFrame) -> DataFrame:
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], []]
+            out: list[list] = [[], [], [], [], []]
             for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                printed = n > 0 and not _ODD_SIGN.search(w)  # a repair is a word of letters that stands whole somewhere
                 for k in delete_keys(w):
-                    out[0].append(k)
-                    out[1].append(w)
-                    out[2].append(n)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], pa.int64())], ["key", "word", "n"])
-
-    index = cut(table.select("word", "n").mapInArrow(keys, "key string, word string, n bigint"))
-    # a repair is a word of letters that stands whole somewhere
-    good = index.where("n > 0").where(~F.col("word").rlike(r"[^\p{L}'’-]")).select("key", F.col("word").alias("repair"), F.col("n").alias("n_repair"))
+                    # a gap of any character can only be read where a sign or digit stands in it
+                    gap = k.find("\1")
+                    read = gap < 0 or not w[gap].isalpha()
+                    if read or printed:
+                        for c, v in zip(out, (k, w, n, read, printed)):
+                            c.append(v)
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], ["key", "word", "n", "read", "printed"])
+
+    index = table.select("word", "n").mapInArrow(keys, "key string, word string, n bigint, read boolean, printed boolean")
+    good = index.where("printed").select("key", F.col("word").alias("repair"), F.col("n").alias("n_repair"))
     odd = F.col("word").rlike(r"[^\p{L}'’-]")
-    # a gap of any character can only be read where a sign or digit stands in it: the other words' gaps are the printed side
-    gap = F.instr("key", "\1")
-    index = index.where((gap == 0) | ~F.substr("word", gap, F.lit(1)).rlike(r"\p{L}"))
-    near = index.join(good, "key").where((F.col("word") != F.col("repair")) & (F.col("n_repair") >= F.when(odd, F.col("n") + 1).otherwise(RATIO * F.greatest("n", F.lit(1)))))
+    near = index.where("read").select("key", "word", "n").join(good, "key")
+    near = near.where((F.col("word") != F.col("repair")) & (F.col("n_repair") >= F.when(odd, F.col("n") + 1).otherwise(RATIO * F.greatest("n", F.lit(1)))))
     near = near.select("word", "repair", "n_repair").distinct()
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -598,7 +602,7 @@ def layout(pages: DataFrame, sections: DataFrame, chapters: DataFrame) -> DataFr
                     if s.ocr_id not in mine:
                         continue
                     # a second scan of the same page is no next page
-                    follow = next((x for x in sheets[k + 1 :] if x.page is None or s.page is None or x.page > s.page), None)
+                    follow = next((x for x in islice(sheets, k + 1, None) if x.page is None or s.page is None or x.page > s.page), None)
                     tail = None
                     if s.last is not None:
                         toks = s.last[1].split()
