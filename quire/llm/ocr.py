@@ -740,10 +740,9 @@ class Repair:
         return lines.unionByName(cases).unionByName(words_).where("ocr_id is not null").distinct()
 
     # --- texts ---
-    def bigrams(self, beside: list[str] | None) -> DataFrame:
-        """(a, b, n) of neighbouring words of a page, lower case and without punctuation; with ``beside`` only pairs that
-        hold one of these words."""
-        shared = self.pages.sparkSession.sparkContext.broadcast(None if beside is None else frozenset(beside))  # at most KNOWN words
+    def bigrams(self, wanted: list[tuple[str, str]] | None) -> DataFrame:
+        """(a, b, n) of neighbouring words of a page, lower case and without punctuation; with ``wanted`` only these pairs."""
+        shared = self.pages.sparkSession.sparkContext.broadcast(None if wanted is None else frozenset(wanted))  # at most KNOWN pairs
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keep, total = shared.value, Counter()
@@ -763,9 +762,8 @@ class Repair:
                     seen = text.lower().translate(bare).split()
                     if keep is None:
                         total.update(zip(seen, seen[1:]))
-                        continue
-                    after = [*seen[1:], None]
-                    total.update([(w, x) for w, x in zip(seen, after) if x is not None and (w in keep or x in keep)])
+                    elif got := keep.intersection(zip(seen, seen[1:])):
+                        total.update([x for x in zip(seen, seen[1:]) if x in got])
             yield counts()
 
         parts = spread(self.pages.select("text")).mapInArrow(run, "a string, b string, n bigint")
@@ -775,11 +773,14 @@ class Repair:
         """(ocr_id, line_no, word, repair, at): of each row's candidates the one that stands most often beside the row's
         neighbours; without any such pair the best by cost and count."""
         many = cut(rows.select("*", F.explode("candidates").alias("c")).select("ocr_id", "line_no", "word", "prev", "follow", "repair", F.col("c.repair").alias("c"), F.col("c.at").alias("at")))
+        beside = F.explode(F.array(F.struct(F.col("prev").alias("a"), F.col("c").alias("b")), F.struct(F.col("c").alias("a"), F.col("follow").alias("b"))))
+        beside = many.select(beside.alias("p")).where("p.a is not null and p.b is not null").select("p.a", "p.b").distinct()
         # a filter of bounded size; beyond it all pairs are counted, with the same result
-        words_ = [r.c for r in many.select("c").distinct().limit(KNOWN + 1).collect()]
-        if not words_:  # nothing to pick from, nothing to count
-            return many.select("ocr_id", "line_no", "word", "repair", "at")
-        pairs = self.bigrams(words_ if len(words_) <= KNOWN else None)
+        wanted = [(r.a, r.b) for r in beside.limit(KNOWN + 1).collect()]
+        if not wanted:  # nothing to pick by, nothing to count
+            best = many.groupBy("ocr_id", "line_no", "word").agg(F.max_by(F.struct("c", "at"), F.struct(F.col("c") == F.col("repair"), "c")).alias("x"))
+            return best.select("ocr_id", "line_no", "word", F.col("x.c").alias("repair"), F.col("x.at").alias("at"))
+        pairs = self.bigrams(wanted if len(wanted) <= KNOWN else None)
         many = many.join(pairs.select(F.col("a").alias("prev"), F.col("b").alias("c"), F.col("n").alias("n1")), ["prev", "c"], "left")
         many = many.join(pairs.select(F.col("a").alias("c"), F.col("b").alias("follow"), F.col("n").alias("n2")), ["c", "follow"], "left")
         score = F.log1p(F.coalesce("n1", F.lit(0))) + F.log1p(F.coalesce("n2", F.lit(0)))
