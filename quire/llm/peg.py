@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import sys
+import unicodedata
 from collections.abc import Callable
 
 Step = Callable[[int], int]  # position -> position after the match, or -1
@@ -48,7 +49,7 @@ class Packrat:
 
     def parse(self, data: object, at: int = 0) -> int:
         """End of the match of the start rule, -1 if there is none; ``far`` and ``want`` tell of the furthest failure."""
-        self.data, self.far, self.want = data, at, ""
+        self.data, self.far, self.want = data, at - 1, ""
         for m in self._memos:
             m.clear()
         return self._start(at)
@@ -274,35 +275,118 @@ _TOKEN = re.compile(
 
 _F_START = re.compile(r"(?i:[ft]|[ft]r|r[ft])(\"\"\"|\'\'\'|\"|\')")
 _ANY_START = re.compile(r"(?i:[rbuft]|br|rb|fr|rf|tr|rt)?(\"\"\"|\'\'\'|\"|\')")
+_ESCAPE = re.compile(r"\\(?:x(?P<x>[0-9a-fA-F]{2})?|u(?P<u>[0-9a-fA-F]{4})?|U(?P<U>(?:000[0-9a-fA-F]|0010)[0-9a-fA-F]{4})?|N(?P<N>\{[^{}\n]+\})?|.)", re.S)
+_ZEROS = re.compile(r"0[0-9_]*[1-9][0-9_]*")
+_STRING_HEAD = re.compile(r"([A-Za-z]*)(\"\"\"|\'\'\'|\"|\')")
+_MARK = re.compile(r"\s*=\s*(?=[!:}])")
+
+
+def _bad_escape(text: str, octets: bool = False) -> bool:
+    """Whether a literal's text, raw ones apart, holds an escape that names nothing."""
+    if "\\" not in text:
+        return False
+    for m in _ESCAPE.finditer(text):
+        kind = m.group()[1:2]
+        if kind not in ("x", "u", "U", "N") or (octets and kind != "x"):
+            continue
+        value = m.group(kind)
+        if value is None:
+            return True
+        if kind == "N":
+            try:
+                unicodedata.lookup(value[1:-1])
+            except KeyError:
+                return True
+    return False
+
+
+def _field(text: str, at: int) -> int:
+    """End, after its brace, of the field of a formatted string that begins at ``at``; -1 if it is none: an expression,
+    perhaps ``=``, a conversion and a format with fields of its own."""
+    begin, depth, n = at, 0, len(text)
+    while at < n:
+        c = text[at]
+        s = _ANY_START.match(text, at)
+        if s and not (at and (text[at - 1].isalnum() or text[at - 1] == "_")):
+            if _F_START.match(text, at):
+                at = _f_string(text, _F_START.match(text, at))
+            else:
+                e = _TOKEN.match(text, at)
+                at = e.end() if e and e.lastgroup == "string" else -1
+            if at < 0:
+                return -1
+            continue
+        if c == "#":
+            e = text.find("\n", at)
+            at = n if e < 0 else e
+            continue
+        if not depth and (c in ":}" or (c == "!" and text[at + 1 : at + 2] != "=") or (c == "=" and _MARK.match(text, at) and text[at - 1] not in "=!<>")):
+            break
+        depth += (c in "{[(") - (c in "}])")
+        if depth < 0:
+            return -1
+        at += 1
+    if at >= n or not _is_field(text[begin:at]):
+        return -1
+    if (m := _MARK.match(text, at)) is not None:
+        at = m.end()
+    if text[at] == "!":
+        m = re.compile(r"![sra]\s*(?=[:}])").match(text, at)
+        if not m:
+            return -1
+        at = m.end()
+    if text[at] == ":":
+        at += 1
+        while at < n and text[at] != "}":
+            if text[at] == "{":
+                at = _field(text, at + 1)
+                if at < 0:
+                    return -1
+            else:
+                at += 1
+    return at + 1 if at < n and text[at] == "}" else -1
+
+
+def _is_field(expression: str) -> bool:
+    """Whether the grammar takes the text, with line ends as blanks, as the expression of a field."""
+    if not expression.strip():
+        return False
+    try:
+        # in parentheses, so that line ends do not count
+        kinds, values, _ = python_tokens("(" + expression + "\n)")
+    except NotTokens:
+        return False
+    inner = (kinds[1:-3] + ["END"], values[1:-3] + [""])
+    return kinds[-3:] == ["op", "NEWLINE", "END"] and FIELD.parse(inner) == len(inner[0])
 
 
 def _f_string(text: str, m: re.Match) -> int:
-    """End of the formatted string that begins at ``m``: fields in braces may hold strings with the same quotes."""
-    quote, at, depth, n = m.group(1), m.end(), 0, len(text)
+    """End of the formatted string that begins at ``m``: fields in braces may hold strings with the same quotes; -1 if it
+    does not close or a field is none."""
+    quote, at, n = m.group(1), m.end(), len(text)
     raw = "r" in m.group().lower()
     while at < n:
         c = text[at]
-        if depth:
-            s = _ANY_START.match(text, at)
-            if s and not text[at - 1].isalnum():
-                f = _F_START.match(text, at)
-                e = _TOKEN.match(text, at) if not f else None
-                at = _f_string(text, f) if f else e.end() if e else -1
-                if at < 0:
-                    return -1
-                continue
-            depth += (c in "{[(") - (c in "}])")
-            at += 1
-        elif text.startswith(quote, at):
+        if text.startswith(quote, at):
             return at + len(quote)
-        elif c == "\\" and not (raw and text[at + 1 : at + 2] in "{}"):
+        if c == "\\":
+            if raw:
+                at += 1 if text[at + 1 : at + 2] in ("{", "}") else 2
+                continue
+            e = _ESCAPE.match(text, at)
+            if not e or _bad_escape(e.group()):
+                return -1
+            at = at + 1 if text[at + 1 : at + 2] in ("{", "}") else e.end()
+        elif c in "{}" and text[at + 1 : at + 2] == c:
             at += 2
-        elif c == "{" and text[at + 1 : at + 2] != "{":
-            depth, at = 1, at + 1
-        elif c == "\n" and len(quote) == 1:
+        elif c == "{":
+            at = _field(text, at + 1)
+            if at < 0:
+                return -1
+        elif c == "}" or (c == "\n" and len(quote) == 1):
             return -1
         else:
-            at += 2 if c in "{}" and text[at + 1 : at + 2] == c else 1
+            at += 1
     return -1
 
 
@@ -315,8 +399,9 @@ class NotTokens(ValueError):
 def python_tokens(text: str) -> tuple[list[str], list[str], list[int]]:
     """(kinds, values, offsets) with NEWLINE, INDENT and DEDENT; raises NotTokens where no token can begin."""
     kinds, values, offsets = [], [], []
-    stack, depth, at, fresh = [0], 0, 1 if text.startswith("﻿") else 0, True
+    stack, depth, at, fresh = [(0, 0)], 0, 1 if text.startswith("\ufeff") else 0, True
     n, match = len(text), _TOKEN.match
+    open_: list[str] = []
 
     def put(kind: str, value: str, where: int) -> None:
         kinds.append(kind)
@@ -326,21 +411,26 @@ def python_tokens(text: str) -> tuple[list[str], list[str], list[int]]:
     while at < n:
         if fresh and not depth:
             m = re.compile(r"[ \t\f]*").match(text, at)
-            width = len(m.group().expandtabs(8))
+            # a block must stand as deep whether a tab goes to the next eighth column or counts one
+            blanks = m.group().rpartition("\f")[2]
+            width = (len(blanks.expandtabs(8)), len(blanks))
             at = m.end()
             if at >= n:
                 break
             if text[at] not in "#\r\n" and not text.startswith(("\\\n", "\\\r\n"), at):
-                if width > stack[-1]:
+                if width[0] > stack[-1][0] and width[1] > stack[-1][1]:
                     stack.append(width)
                     put("INDENT", "", at)
-                while width < stack[-1]:
+                while width[0] < stack[-1][0]:
                     stack.pop()
                     put("DEDENT", "", at)
                 if width != stack[-1]:
                     raise NotTokens(at, "indentation of an outer block")
                 fresh = False
-        if (f := _F_START.match(text, at)) is not None and (end := _f_string(text, f)) > 0:
+        if (f := _F_START.match(text, at)) is not None:
+            end = _f_string(text, f)
+            if end < 0:
+                raise NotTokens(at, "a formatted string")
             put("STRING", text[at:end], at)
             at = end
             continue
@@ -353,13 +443,32 @@ def python_tokens(text: str) -> tuple[list[str], list[str], list[int]]:
                 put("NEWLINE", "", at)
             fresh = fresh or not depth
         elif kind == "op":
-            depth += 1 if value in "([{" else -1 if value in ")]}" and depth else 0
+            if value in "([{":
+                open_.append(value)
+            elif value in ")]}":
+                if not open_ or "([{".index(open_.pop()) != ")]}".index(value):
+                    raise NotTokens(at, "the bracket that was opened")
+            depth = len(open_)
             put("op", value, at)
         elif kind == "name":
             put("op" if value in KEYWORDS else "NAME", value, at)
-        elif kind in ("string", "number"):
-            put(kind.upper(), value, at)
+        elif kind == "string":
+            head = _STRING_HEAD.match(value).group(1).lower()
+            if "b" in head and not value.isascii():
+                raise NotTokens(at, "bytes of ASCII")
+            if "r" not in head and _bad_escape(value, "b" in head):
+                raise NotTokens(at, "an escape that names a character")
+            put("STRING", value, at)
+        elif kind == "number":
+            if _ZEROS.fullmatch(value):
+                raise NotTokens(at, "a number without leading zeros")
+            put("NUMBER", value, at)
         at = m.end()
+    for k, (a, b) in enumerate(zip(kinds, kinds[1:])):
+        if a == b == "STRING" and ("b" in _STRING_HEAD.match(values[k]).group(1).lower()) != ("b" in _STRING_HEAD.match(values[k + 1]).group(1).lower()):
+            raise NotTokens(offsets[k + 1], "bytes beside bytes, or text beside text")
+    if depth:
+        raise NotTokens(n, "a closing bracket")
     if kinds and kinds[-1] not in ("NEWLINE", "DEDENT"):
         put("NEWLINE", "", n)
     for _ in stack[1:]:
@@ -381,8 +490,7 @@ def _over_tokens(g: Packrat, name: str, literal: bool) -> Step:
     return run
 
 
-PYTHON = Packrat(
-    """
+_PYTHON = """
 file <- statement* ~END~
 statement <- compound / simple
 simple <- small (';' small)* ';'? ~NEWLINE~
@@ -413,8 +521,15 @@ decorated <- ('@' named ~NEWLINE~)+ (def / class / 'async' def)
 def <- 'def' ~NAME~ typeparams? '(' params? ')' ('->' expr)? ':' block
 typeparams <- '[' typeparam (',' typeparam)* ','? ']'
 typeparam <- ('*' / '**')? ~NAME~ (':' expr)? ('=' expr)?
-params <- param (',' param)* ','?
-param <- '/' / '**' ~NAME~ (':' expr)? / '*' (~NAME~ (':' ('*' expr / expr))?)? / ~NAME~ (':' expr)? ('=' expr)?
+params <- plain (',' starred)? ','? / starred ','?
+plain <- reqs ',' '/' (',' req)* (',' opt)* / reqs (',' opt)+ ',' '/' (',' opt)* / opts ',' '/' (',' opt)* / reqs (',' opt)* / opts
+reqs <- req (',' req)*
+opts <- opt (',' opt)*
+req <- ~NAME~ (':' expr)? !'='
+opt <- ~NAME~ (':' expr)? '=' expr
+starred <- '*' ~NAME~ (':' ('*' expr / expr))? (',' either)* (',' rest)? / '*' (',' either)+ (',' rest)? / rest
+either <- ~NAME~ (':' expr)? ('=' expr)?
+rest <- '**' ~NAME~ (':' expr)?
 class <- 'class' ~NAME~ typeparams? ('(' args? ')')? ':' block
 match <- 'match' exprs ':' ~NEWLINE~ ~INDENT~ case+ ~DEDENT~
 case <- 'case' patterns ('if' named)? ':' block
@@ -430,8 +545,16 @@ exprs <- sexpr (',' sexpr)* ','?
 sexpr <- '*' arith / named
 named <- ~NAME~ ':=' expr / expr !':='
 expr <- lambda / bool ('if' bool 'else' expr)?
-lambda <- 'lambda' (lparam (',' lparam)* ','?)? ':' expr
-lparam <- '/' / '**' ~NAME~ / '*' ~NAME~? / ~NAME~ ('=' expr)?
+lambda <- 'lambda' lparams? ':' expr
+lparams <- lplain (',' lstarred)? ','? / lstarred ','?
+lplain <- lreqs ',' '/' (',' lreq)* (',' lopt)* / lreqs (',' lopt)+ ',' '/' (',' lopt)* / lopts ',' '/' (',' lopt)* / lreqs (',' lopt)* / lopts
+lreqs <- lreq (',' lreq)*
+lopts <- lopt (',' lopt)*
+lreq <- ~NAME~ !'='
+lopt <- ~NAME~ '=' expr
+lstarred <- '*' ~NAME~ (',' leither)* (',' lrest)? / '*' (',' leither)+ (',' lrest)? / lrest
+leither <- ~NAME~ ('=' expr)?
+lrest <- '**' ~NAME~
 bool <- 'not'* compare (('and' / 'or') 'not'* compare)*
 compare <- arith (comparison arith)*
 comparison <- '==' / '!=' / '<=' / '>=' / '<' / '>' / 'in' / 'not' 'in' / 'is' 'not' / 'is'
@@ -439,32 +562,53 @@ arith <- unary (operator unary)*
 operator <- '+' / '-' / '*' / '/' / '//' / '%' / '@' / '**' / '<<' / '>>' / '&' / '|' / '^'
 unary <- ('+' / '-' / '~')* 'await'? primary
 primary <- atom trailer*
-trailer <- '.' ~NAME~ / '(' args? ')' / '[' slices ']'
+trailer <- '.' ~NAME~ / '(' named comp ')' / '(' args? ')' / '[' slices ']'
 slices <- slice (',' slice)* ','?
 slice <- expr? ':' expr? (':' expr?)? / sexpr
-args <- posargs (',' kwargs)? ','? / kwargs ','?
-posargs <- posarg (',' posarg)*
-posarg <- '*' expr / ~NAME~ ':=' expr / expr !'=' comp?
-kwargs <- kwarg (',' kwarg)*
-kwarg <- ~NAME~ '=' expr / '**' expr / '*' expr
+args <- posarg (',' posarg)* (',' kwargs)? ','? / kwargs ','?
+posarg <- '*' expr / ~NAME~ ':=' expr / expr !':=' !'='
+kwargs <- kwstar (',' kwstar)* (',' kwdouble (',' kwdouble)*)? / kwdouble (',' kwdouble)*
+kwstar <- ~NAME~ '=' expr / '*' expr
+kwdouble <- ~NAME~ '=' expr / '**' expr
 comp <- ('async'? 'for' targets 'in' bool ('if' (lambda / bool))*)+
 yield <- 'yield' ('from' expr / results)?
-atom <- ~NAME~ / ~NUMBER~ / ~STRING~+ / 'None' / 'True' / 'False' / '...' / '(' (yield / sexpr comp / exprs)? ')' / '[' (sexpr comp / exprs)? ']' / '{' (entry (comp / (',' entry)* ','?) / sexpr comp / exprs)? '}'
-entry <- '**' arith / expr ':' expr
-""",
-    "file",
-    _over_tokens,
-)
+atom <- ~NAME~ / ~NUMBER~ / ~STRING~+ / 'None' / 'True' / 'False' / '...' / '(' (yield / named comp / exprs)? ')' / '[' (named comp / exprs)? ']' / '{' (pair comp / entry (',' entry)* ','? / named comp / exprs)? '}'
+entry <- '**' arith / pair
+pair <- expr ':' expr
+field <- (yield / exprs) ~END~
+"""
+PYTHON = Packrat(_PYTHON, "file", _over_tokens)
+FIELD = Packrat(_PYTHON, "field", _over_tokens)  # fields of formatted strings, while the tokens are made
 
 _VERBATIM = re.compile(r"\\begin\{(verbatim\*?|Verbatim|lstlisting|minted|comment)\}.*?\\end\{\1\}", re.S)
 _CONFLICT = re.compile(r"^(?:<{7}|={7}|>{7}|\|{7})(?=[ \t\r]|$)", re.M)
-#: Lines that belong to another language than LaTeX. Fixed patterns.
-_FOREIGN = {
-    "py": re.compile(r"^(?:import \w[\w.]*|from \w[\w.]* import .+|def \w+\(.*\).*:|class \w+.*:|\s+return\b.*)$", re.M),
-    "json": re.compile(r"""^\s*"[^"\n]*"\s*:\s*(?:"|-?\d|true|false|null|\[|\{)""", re.M),
-    "conf": re.compile(r"""^[A-Z][A-Z0-9_]*=""", re.M),
-}
 _COMMAND = re.compile(r"\\[A-Za-z]+")
+_STATEMENT = frozenset(("=", "def", "class", "import", "from", "for", "while", "if", "with", "try", "return", "assert", "del", "raise"))
+
+
+def _python(text: str) -> tuple[bool, int, str]:
+    try:
+        kinds, values, offsets = python_tokens(text)
+    except NotTokens as e:
+        return False, e.at, e.want
+    ok = PYTHON.parse((kinds, values)) == len(kinds)
+    return ok, len(text) if ok else offsets[max(0, PYTHON.far)], "" if ok else PYTHON.want
+
+
+def other_language(text: str) -> str | None:
+    """The language, other than LaTeX, whose grammar consumes all of a text: one JSON object or array, ``KEY=value`` lines
+    alone, or Python with a statement that is more than an expression. A text with a LaTeX command outside comments is
+    none of these unless the grammar has it inside its strings."""
+    bare = text.strip()
+    if not bare:
+        return None
+    if bare[0] in "{[" and bare[-1] in "}]" and JSON.parse(text) == len(text):
+        return "json"
+    if "=" in bare and CONF.parse(text) == len(text):
+        return "conf"
+    # an indented copy is the same language
+    words = set(re.findall(r"\w+|=", bare))
+    return "py" if words & _STATEMENT and _python(text)[0] else None
 
 
 def check(suffix: str | None, text: str) -> tuple[bool, int, str, bool] | None:
@@ -474,23 +618,16 @@ def check(suffix: str | None, text: str) -> tuple[bool, int, str, bool] | None:
     if conflict and suffix == "tex":  # verbatim text may show markers
         conflict = _CONFLICT.search(_VERBATIM.sub(lambda m: " " * len(m.group()), text))
     if suffix == "py":
-        try:
-            kinds, values, offsets = python_tokens(text)
-        except NotTokens as e:
-            return False, e.at, e.want, conflict is not None
-        ok = PYTHON.parse((kinds, values)) == len(kinds)
-        return ok, len(text) if ok else offsets[PYTHON.far], "" if ok else PYTHON.want, conflict is not None
+        return *_python(text), conflict is not None
     if suffix in ("json", "conf"):
         g = JSON if suffix == "json" else CONF
         ok = g.parse(text) == len(text)
-        return ok, len(text) if ok else g.far, "" if ok else g.want, conflict is not None
+        return ok, len(text) if ok else max(0, g.far), "" if ok else g.want, conflict is not None
     if suffix == "tex":
-        if conflict:
-            return False, conflict.start(), "no conflict marker", True
-        for name, pattern in _FOREIGN.items():
-            lines = len(pattern.findall(text))
-            if lines and lines > len(_COMMAND.findall(text)):
-                return False, 0, f"LaTeX, not {name}", False
+        if (name := other_language(text)) is not None:
+            return False, 0, f"LaTeX, not {name}", conflict is not None
         ok = LATEX.parse(text) == len(text)
-        return ok, len(text) if ok else LATEX.far, "" if ok else LATEX.want, False
+        if conflict and (ok or conflict.start() <= LATEX.far):
+            return False, conflict.start(), "no conflict marker", True
+        return ok, len(text) if ok else max(0, LATEX.far), "" if ok else LATEX.want, conflict is not None
     return None

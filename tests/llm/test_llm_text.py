@@ -4,7 +4,10 @@ import ast
 import json
 import os
 import random
+import re
+import warnings
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 
@@ -222,3 +225,52 @@ def test_pairs_of_a_table(spark):
     forms = {r.doc_id: r.consistent for r in lookalike.consistent(df).collect()}
     assert forms[1] == forms[9] == "covering" and forms[5] is None and forms[6] == ""
     assert lookalike.same_looking(df.limit(0)).count() == 0
+
+
+REJECTED = [
+    "0777", "def f(a=1, b): pass", "def f(*): pass", "def f(a, /, b, /): pass", "def f(*a, *b): pass", "def f(**k, a): pass", "lambda a=1, b: 0", "f(**a, *b)", "f(x for x in y, 1)", "f(1, x for x in y)",
+    "class A(x for x in y): pass", "b'a' 'b'", "'\\x'", "'\\N{zz}'", "'\\u12'", "b'\u00e9'", "f'{1 +}'", "f'{}'", "f'{x'", "f'}'", "f'{x!z}'", "f'{a b}'", "if 1:\n\tx = 1\n        y = 2\n", "(*a for a in b)", "{**a for a in b}", "(]", "x = )",
+]
+ACCEPTED = [
+    "f'{x!r:>{w}}'", "f'{x=}'", "f'{x = !r}'", "f\"{d['a']}\"", "f'{{}}'", "f'{a!=b}'", "f'{a:=^10}'", "f'{(lambda x: 1)}'", "f'{f\"{x}\"}'", "rf'\\d{x}'", "f'\\N{EN DASH}{x}'", "def f(a, /, b=1, *, c, d=2, **k): pass", "def f(a=1, /, b=2): pass",
+    "f(*a, b, c=1, *d, **e, g=2)", "f(x for x in y)", "00", "0777.5", "{**a, 'b': 1}", "x[a:b, *c]", "print(f'{a!r}' 'b')",
+]
+
+
+@pytest.mark.parametrize("text,valid", [*((t, False) for t in REJECTED), *((t, True) for t in ACCEPTED)])
+def test_python_snippets(text, valid):
+    assert peg.check("py", text)[0] is valid
+
+
+def test_python_grammar_on_mutated_tokens():
+    """Tokens of this library's own files, put in, taken out and replaced at random: the language's own parser decides."""
+    random.seed(3)
+    files = [f.read_text() for f in sorted(Path(peg.__file__).parents[1].rglob("*.py")) if f.stat().st_size > 500]
+    tokens = re.findall(r"\w+|[^\w\s]|\n *", "".join(files[:6]))
+    seen = 0
+    for _ in range(400):
+        lines = random.choice(files).split("\n")
+        a = random.randrange(len(lines))
+        text = "\n".join(lines[a : a + random.randrange(3, 15)]).replace("\n" + " " * (len(lines[a]) - len(lines[a].lstrip())), "\n").lstrip() + "\n"
+        for _ in range(random.randrange(0, 3)):
+            k = random.randrange(len(text))
+            text = text[:k] + (" " + random.choice(tokens) + " " if random.random() < 0.7 else "") + text[k + random.randrange(0, 4) :]
+        try:
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore")
+                ast.parse(text)
+            valid = True
+        except (SyntaxError, ValueError):
+            valid = False
+        seen += valid
+        assert not text.strip() or peg.check("py", text)[0] is valid, text
+    assert seen > 20
+
+
+def test_another_language_is_told_by_its_grammar():
+    assert peg.check("tex", "class of functions:\nand a plain text")[0]
+    assert peg.check("tex", "import of goods, from x to y\nA=b, say\n")[0]
+    for text, name in (("x = [1, 2]\nfor i in x:\n    print(i)\n", "py"), ('{"a": [1, 2]}\n', "json"), ("A=b\n# c\nC='d'\n", "conf")):
+        ok, far, want, conflict = peg.check("tex", text)
+        assert (ok, far, want, conflict) == (False, 0, f"LaTeX, not {name}", False)
+    assert peg.check("json", "NaN")[1:3] == (0, "open")
