@@ -60,6 +60,10 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return truncation.found(read(spark, d, "source_file"), read(spark, d, "filter_test_result"))
 
 
+def p6_cases(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cases(read(spark, d, "source_file"), read(spark, d, "filter_test_result"))
+
+
 def p6_rates(spark: SparkSession, d: str) -> DataFrame:
     return truncation.source_rates(read(spark, d, "source_file"), read(spark, d, "filter_test_result"))
 
@@ -92,7 +96,7 @@ def p9_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_text_pieces, p3_found, p3_text, p4_found, p4_portions, p4_groups, p5_found, p5_files, p5_rates, p6_found, p6_rates, p7_ids, p8_mix, p8_shares, p9_found, p9_text)}
+    return {f.__name__: f for f in (p2_found, p2_text_pieces, p3_found, p3_text, p4_found, p4_portions, p4_groups, p5_found, p5_files, p5_rates, p6_found, p6_cases, p6_rates, p7_ids, p8_mix, p8_shares, p9_found, p9_text)}
 
 
 P2_FOUND = """

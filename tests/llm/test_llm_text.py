@@ -102,7 +102,7 @@ RESULTS = "result_id long, model string, input_format string, status string, out
 
 
 def test_truncation(spark):
-    rows = [(i, "tex", "form", "w" * 50) for i in range(5)]  # all at the limit of their origin
+    rows = [(i, "tex", "form", f"{i} " + "w" * 48) for i in range(5)]  # all at the limit of their origin
     rows += [(10 + i, "tex", "form", "A whole sentence.\n" * (i % 2 + 1)) for i in range(8)]
     rows += [(20, "tex", "mail", "A sentence that sto"), (21, "tex", "mail", "All said."), (22, "tex", "mail", "x\n\\end{proof}"), (23, "tex", None, None), (24, "tex", "mail", ""), (25, "json", "mail", '[{"a": "b'), (26, "json", "mail", "[1]"), (27, "conf", "mail", "A=1\nB=\"x"), (28, "conf", "mail", "A=1\nB=\"x\""), (29, "py", "mail", "x = [1,"), (30, "tex", "mail", "\\item Show that"), (31, "tex", "mail", "\\item Show that\n")]
     rows += [(20, "tex", "mail", "A sentence that sto")]
@@ -119,12 +119,22 @@ def test_truncation(spark):
 
 
 def test_byte_limit_before_a_wide_character(spark):
-    rows = [(i, "tex", "web", "é" * 20) for i in range(6)] + [(9, "tex", "web", "x" + "é" * 19), (10, "tex", "web", "short.\n"), (11, "tex", "other", "é" * 30 + ".")]
-    rows += [(20 + i, "tex", "web", "a" * 40) for i in range(4)]
+    rows = [(i, "tex", "web", "é" * 19 + "éèêàçô"[i]) for i in range(6)] + [(9, "tex", "web", "x" + "é" * 19), (10, "tex", "web", "short.\n"), (11, "tex", "other", "é" * 30 + ".")]
+    rows += [(20 + i, "tex", "web", "a" * 39 + "bcde"[i]) for i in range(4)]
     got = {x.rec_id for x in truncation.found(_files(spark, rows), spark.createDataFrame([], RESULTS)).collect()}
     assert got == {0, 1, 2, 3, 4, 5, 9, 20, 21, 22, 23}
 
 
+def test_every_spike_near_the_greatest_length(spark):
+    """Two limits of one source, copies of one content, and a complete value that stands at a limit."""
+    text = lambda i, n, end="": (f"{i} " + "word " * n)[: n - len(end)] + end
+    rows = [(i, "tex", "form", text(i, 400)) for i in range(12)] + [(20 + i, "tex", "form", text(i, 300)) for i in range(11)]
+    rows += [(40, "tex", "form", text(40, 400, ".")), (41, "tex", "form", text(41, 390, ".\n"))]
+    rows += [(50 + i, "tex", "git", "A copied file.\n" * 20) for i in range(30)] + [(90, "tex", "git", "x.\n" * 120)]
+    got = truncation.cases(_files(spark, rows), spark.createDataFrame([], RESULTS)).collect()
+    assert {(x.rec_id, x.sign, x.unit, x["at"], x.complete) for x in got} == {*((i, "limit", "chars", 400, False) for i in range(12)), *((20 + i, "limit", "chars", 300, False) for i in range(11)), (40, "limit", "chars", 400, True)}
+
+
 # --- tokens --------------------------------------------------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def encoder():
