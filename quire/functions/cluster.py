@@ -7,17 +7,22 @@ import tempfile
 import zipfile
 from collections.abc import Iterator
 
+from pyspark.errors import PythonException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder, so that readers do not repeat its plan and a lost
-    executor costs nothing. The folder is ``spark.checkpoint.dir`` of the session; only where that is unset (tests,
-    local runs) a temporary folder of this machine is set."""
+    executor costs nothing. The folder is ``spark.checkpoint.dir`` of the session; only a local session that has none gets
+    a temporary folder of this machine, anywhere else a missing folder is an error. ``spark.cleaner.referenceTracking.
+    cleanCheckpoints`` lets Spark remove what nothing refers to any more."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quire-ckpt-"))
+        folder = sc.getConf().get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="quire-ckpt-"))
     return df.checkpoint()
 
 
@@ -50,7 +55,7 @@ def on_workers(spark: SparkSession) -> None:
     probe.__module__ = "__main__"  # sent by value: it must run where the package is missing
     try:
         there = spark.range(1).mapInArrow(probe, "there boolean").first()[0]
-    except Exception:  # noqa: BLE001 - a worker that cannot even start the probe gets the package, too
+    except PythonException:  # a worker without what the probe imports gets the package, too
         there = False
     if not there:
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -72,12 +77,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def latest(df: DataFrame, keys: list[str], by: str) -> DataFrame:
     """One row per key: that of the greatest ``by`` (null is least), ties by the other columns' values. A
-    map-side-combined aggregate, so a key that holds a third of the rows is reduced before the shuffle. Maps, which
-    have no order, do not take part in the tie-break."""
+    map-side-combined aggregate, so a key that holds a third of the rows is reduced before the shuffle, and each value is
+    carried once: the row is the greatest struct that begins with ``by``. Maps, which have no order, are carried beside it
+    and do not take part in the tie-break."""
     rest = [c for c in df.columns if c not in keys]
     kinds = dict(df.dtypes)
-    order = F.struct(F.col(by), *[F.col(c) for c in rest if c != by and not kinds[c].startswith("map")])
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("__row"))
+    ordered = F.struct(F.col(by), *[F.col(c) for c in rest if c != by and "map<" not in kinds[c]])
+    maps = any("map<" in kinds[c] for c in rest)
+    picked = df.groupBy(*keys).agg((F.max_by(F.struct(*rest), ordered) if maps else F.max(ordered)).alias("__row"))
     return picked.select(*keys, *[F.col("__row")[c].alias(c) for c in rest])
 
 

@@ -30,9 +30,12 @@ def forbidden_markers(texts: DataFrame, keys: list[str], text: str, markers=FORB
     return texts.select(*keys, F.explode(hit).alias("marker"))
 
 
-def missing_required(files: DataFrame, required: tuple[str, ...] = REQUIRED_FILES) -> DataFrame:
+def missing_required(files: DataFrame, required: tuple[str, ...] = REQUIRED_FILES, books: DataFrame | None = None) -> DataFrame:
     """(book, rel_path) that a book lacks. Each book's few required paths are gathered, so a book of any size is one row
-    after the partial aggregate."""
+    after the partial aggregate. ``books`` names books that may have no file at all."""
+    files = files.select("book", "rel_path")
+    if books is not None:
+        files = files.unionByName(books.select("book", F.lit(None).cast("string").alias("rel_path")))
     have = files.where(F.col("book").isNotNull()).groupBy("book").agg(F.collect_set(F.when(F.col("rel_path").isin(*required), F.col("rel_path"))).alias("have"))
     return have.select("book", F.explode(F.array_except(F.array(*map(F.lit, required)), "have")).alias("rel_path"))
 
@@ -43,6 +46,20 @@ def leftovers(texts: DataFrame, keys: list[str], text: str, pattern: str = r"UNC
     return hit.where(F.col("line").rlike(pattern)).withColumn("line_no", F.col("line_no") + 1)
 
 
+def legacy_paths(paths: DataFrame, path: str = "path") -> DataFrame:
+    """(path, code) that an older layout left at the root of the tree: a configuration, a progress file, chapter
+    directories (one row each, named without what lies in it). The books need not exist."""
+    p = F.col(path)
+    chapter = F.nullif(F.regexp_extract(p, r"^(latex/ch[^/]*)/", 1), F.lit(""))
+    left = F.when(p.isin("book.conf", "docs/progress.md"), p).otherwise(chapter)
+    return paths.select(left.alias("path")).where("path is not null").distinct().select("path", F.when(F.col("path").startswith("latex/"), "chapter_dir").otherwise("file").alias("code"))
+
+
+def of_book(violations: DataFrame, book: str) -> DataFrame:
+    """The violations of one book, of a union of checks."""
+    return violations.where(F.col("scope") == book)
+
+
 # --- references ---------------------------------------------------------------------------------------------------
 def referenced_stems(content: Column) -> Column:
     """Stems that a wrapper includes: comments do not count, directories and ``.tex`` are dropped."""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 STYLES = {
     "two-part": (r"(?i)Figure\s+(\d+)\.(\d+)(?!\.\d)", 2),
     "two-part-strict": (r"(?i)Figure\s+(\d+)\.(\d+)(?![\d]|\.\d)", 2),
-    "three-part": (r"(?i)Figure\s+(\d+)\.(\d+)\.(\d+)", 3),
+    "three-part": (r"Figure\s+(\d+)\.(\d+)\.(\d+)", 3),
     "roman": (r"(?i)Figure\s+(I{1,3}V?)\s*[-–—]\s*(\d+[a-z]?)", 2),
 }
 ROMAN = {"I": 1, "II": 2, "III": 3, "IV": 4, "V": 5}
@@ -122,25 +122,30 @@ def located(wanted: DataFrame, spans: DataFrame, keys: list[str], text: str, ret
     return wanted.join(one, [*keys, text], "left").join(two, [*keys, retry], "left").withColumn("rect", F.coalesce("__r1", "__r2")).drop("__r1", "__r2")
 
 
+FIGURE_LABEL = r"\\label\{[^}]*?(\d+(?:[._]\d+){1,2})\}"
 FIGURE_ENV = r"(?s)\\begin\{figure\}.*?\\end\{figure\}"
 
 
-def rewritten_paths(files: DataFrame, figs: DataFrame, keys: list[str], text: str = "content") -> DataFrame:
+def rewritten_paths(files: DataFrame, figs: DataFrame, keys: list[str], text: str = "content", row: str = "file_id") -> DataFrame:
     """Figure environments with the image path of the figure that their label names, by place: each environment is rebuilt
-    on its own, so two figures with one placeholder cannot be confused. ``figs``: (keys, fig_id, path)."""
-    paths = figs.groupBy(*keys).agg(F.map_from_entries(F.collect_set(F.struct("fig_id", "path"))).alias("__paths"))
+    on its own, so two figures with one placeholder cannot be confused. ``figs``: (keys, fig_id, path); of several paths
+    of one figure the least counts. ``row`` names a file; each gets the paths of its own figures only."""
+    env_ids = F.transform(F.regexp_extract_all(F.col(text), F.lit(FIGURE_ENV), F.lit(0)), lambda env: F.regexp_replace(F.regexp_extract(env, FIGURE_LABEL, 1), "_", "."))
+    asked = files.select(row, *keys, F.explode(F.array_distinct(env_ids)).alias("fig_id")).where("fig_id <> ''")
+    found = asked.join(figs.groupBy(*keys, "fig_id").agg(F.min("path").alias("path")), [*keys, "fig_id"])
+    paths = found.groupBy(row).agg(F.map_from_entries(F.collect_set(F.struct("fig_id", "path"))).alias("__paths"))
     outside, inside = F.split(text, FIGURE_ENV, -1), F.regexp_extract_all(F.col(text), F.lit(FIGURE_ENV), F.lit(0))
 
     def rebuilt(env: Column) -> Column:
         # the id in the label, its parts joined by any sign
-        fig = F.regexp_replace(F.regexp_extract(env, r"\\label\{[^}]*?(\d+(?:[._]\d+){1,2})\}", 1), "_", ".")
+        fig = F.regexp_replace(F.regexp_extract(env, FIGURE_LABEL, 1), "_", ".")
         path = F.try_element_at(F.col("__paths"), fig)
         pieces = F.split(env, r"\\includegraphics(?:\[[^\]]*\])?\{[^}]*\}", 2)
         new = F.concat(F.element_at(pieces, 1), F.lit("\\includegraphics[width=0.8\\textwidth]{"), path, F.lit("}"), F.try_element_at(pieces, F.lit(2)))
         return F.coalesce(new, env)
 
     body = F.array_join(F.transform(F.arrays_zip(outside.alias("o"), F.transform(inside, rebuilt).alias("i")), lambda p: F.concat(p["o"], F.coalesce(p["i"], F.lit("")))), "")
-    out = files.join(paths, keys, "left")
+    out = files.join(paths, row, "left")
     return out.withColumn("__new", F.when(F.col("__paths").isNull(), F.col(text)).otherwise(body)).withColumn("changed", F.coalesce(F.col("__new") != F.col(text), F.lit(False))).withColumn(text, F.col("__new")).drop("__new", "__paths")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import count_of
@@ -37,7 +37,17 @@ def rolled_up(counts: DataFrame, groups: list[str], sums: list[str]) -> DataFram
 def top_terms(texts: DataFrame, text: str, pattern: str, groups: list[str], k: int) -> DataFrame:
     """The ``k`` most frequent matches (ties by the term) of each group, or overall. The terms of each group are counted
     with a partial aggregate before anything is ranked; a group's ranking keeps at most ``k`` rows of a partition."""
-    terms = texts.select(*groups, F.explode(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))).alias("term"))
+    return top_of(texts.withColumn(text, terms_of(F.col(text), pattern)), text, groups, k)
+
+
+def terms_of(text: Column, pattern: str) -> Column:
+    """The matches in a text: what is shuffled of it where only they are asked for."""
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+
+def top_of(rows: DataFrame, terms: str, groups: list[str], k: int) -> DataFrame:
+    """``top_terms`` of rows whose column ``terms`` holds the matches."""
+    terms = rows.select(*groups, F.explode(terms).alias("term"))
     counts = terms.groupBy(*groups, "term").agg(F.count("*").alias("n"))
     if not groups:
         return counts.orderBy(F.desc("n"), "term").limit(k)

@@ -6,7 +6,12 @@ Null lines are empty lines. Two records of one log are the same if file, line an
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,6 +68,44 @@ def unwrapped(lines: DataFrame) -> DataFrame:
     return whole.unionByName(rows.where("width is not null").groupBy("log_id").applyInPandas(fold, schema))
 
 
+def unwrapped_texts(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, line_no, line) as ``unwrapped`` has them, of logs that are one text each: width and joins are found where the
+    text is read, so no line is shuffled. Null texts have no lines."""
+    kind = texts.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        record = re.compile(f"{FILE_LINE}|{BANG}")
+        for batch in batches:
+            keys, numbers, out = [], [], []
+            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if t is None:
+                    continue
+                width, parts, size = width_of(lines_ := t.split("\n")), [], -1
+                for no, line in enumerate(lines_):
+                    if parts and size == width and not record.search(line):
+                        parts[-1].append(line)
+                        size += len(line)
+                    else:
+                        parts.append([line])
+                        numbers.append(no)
+                        size = len(line)
+                keys += [k] * len(parts)
+                out += ["".join(p) for p in parts]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, batch.column(0).type), pa.array(numbers, pa.int64()), pa.array(out, pa.string())], [key, "line_no", "line"])
+
+    return texts.select(key, text).mapInArrow(run, f"`{key}` {kind}, line_no bigint, line string")
+
+
+def width_of(lines_: list[str]) -> int | None:
+    """The width of one hard-wrapped log, by the rule of ``wrap_widths``; None if it is not wrapped."""
+    hist = Counter(map(len, lines_))
+    best = max(((c, -n) for n, c in hist.items() if n >= MIN_WIDTH), default=None)
+    if best is None or best[0] < MIN_REPEATS:
+        return None
+    longer = sum(c for n, c in hist.items() if n > -best[1])
+    return -best[1] if longer <= max(3, len(lines_) // 50) else None
+
+
 def relative_path(path: Column, root: str | None = None) -> Column:
     """Forward slashes; below ``root`` relative to it."""
     p = F.replace(path, F.lit("\\"), F.lit("/"))

@@ -7,6 +7,7 @@ between two revisions is reported.
 
 Defined cases
 -------------
+* a key of no known field is a field of its own, named by its words in upper snake case.
 * null map, no known key, blank or quoted-blank value: the field is not held (all branches null).
 * several known keys of one field in one revision: the first held one in preference order of its spelling
   (upper snake case, then by code point) is the field's key; the others are ignored.
@@ -76,6 +77,40 @@ def revisions(conf: DataFrame) -> DataFrame:
     return rows.drop("__held", "conf")
 
 
+def _field(key_words: Column) -> Column:
+    """Canonical field of a key given by its words: a known one, or one of its own."""
+    known = F.coalesce(*[F.when(key_words.rlike(p), F.lit(f)) for f, p in FIELDS.items()], F.upper(key_words))
+    return F.nullif(known, F.lit(""))
+
+
+def values(conf: DataFrame) -> DataFrame:
+    """(book, revision, field, key, type, value): every key of every revision in one consistent table, whatever it is. All
+    of a revision's fields are made in its own row."""
+    rows = conf.where(F.col("revision").isNotNull()).select("book", "revision", "loaded_at", "conf")
+    rows = latest(rows, ["book", "revision"], "loaded_at")
+    held = F.transform(F.coalesce(F.map_entries("conf"), F.array()), lambda e: F.struct(_field(words(e["key"])).alias("field"), e["key"].alias("key"), bare(e["value"]).alias("v")))
+    rows = rows.select("book", "revision", F.filter(held, lambda e: e["v"].isNotNull() & e["field"].isNotNull()).alias("held"))
+    best = lambda f: F.array_min(F.transform(F.filter("held", lambda e: e["field"] == f), lambda e: F.struct((e["key"] != f).alias("o"), e["key"].alias("key"), e["v"].alias("v"))))
+    one = F.transform(F.array_distinct(F.transform("held", lambda e: e["field"])), lambda f: F.struct(f.alias("field"), best(f).alias("b")))
+    rows = rows.select("book", "revision", F.explode(one).alias("x"))
+    return rows.select("book", "revision", "x.field", F.col("x.b.key").alias("key"), value_type(F.col("x.b.v")).alias("type"), F.col("x.b.v").alias("value"))
+
+
+def all_changes(conf: DataFrame) -> DataFrame:
+    """(book, revision, field, change) as ``changes`` has them, of every field."""
+    rows = values(conf).groupBy("book", "revision").agg(F.map_from_entries(F.collect_list(F.struct("field", F.struct("key", "type")))).alias("now"))
+    every = latest(conf.where(F.col("revision").isNotNull()).select("book", "revision", "loaded_at"), ["book", "revision"], "loaded_at").select(F.col("book").alias("b"), F.col("revision").alias("r"))
+    rows = every.join(rows, F.col("b").eqNullSafe(F.col("book")) & (F.col("r") == F.col("revision")), "left")
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<struct<key:string,type:string>>"))
+    rows = rows.select(F.col("b").alias("book"), F.col("r").alias("revision"), F.coalesce("now", none).alias("now"))
+    rows = blocked_lag(rows, ["book"], "revision", F.col("now"), "old").where("old is not null")
+    rows = rows.select("book", "revision", "now", "old", F.explode(F.array_union(F.map_keys("now"), F.map_keys("old"))).alias("field"))
+    a, b = F.try_element_at("old", F.col("field")), F.try_element_at("now", F.col("field"))
+    both = a.isNotNull() & b.isNotNull()
+    case = F.array(F.when(a.isNull(), "added"), F.when(b.isNull(), "removed"), F.when(both & (a["key"] != b["key"]), "renamed"), F.when(both & (a["type"] != b["type"]), "retyped"))
+    return rows.select("book", "revision", "field", F.explode(F.array_compact(case)).alias("change"))
+
+
 def _ints(v: Column) -> Column:
     return F.transform(F.regexp_extract_all(v, F.lit(r"([0-9]+)"), F.lit(1)), lambda x: x.try_cast("int"))
 
@@ -112,11 +147,8 @@ def consistent_table(conf: DataFrame) -> DataFrame:
 
 def fused_schema(conf: DataFrame) -> DataFrame:
     """The fused tagged union: one row per field, key and type with its number of revisions and of books and the first
-    and last revision number at which the alternative stands."""
-    rows = revisions(conf)
-    long = rows.select("book", "revision", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("u")) for f in FIELDS])).alias("x"))
-    long = long.where("x.u is not null").select("book", "revision", "x.field", F.col("x.u.key").alias("key"), F.col("x.u.type").alias("type"))
-    per_book = long.groupBy("field", "key", "type", "book").agg(F.count("*").alias("n"), F.min("revision").alias("lo"), F.max("revision").alias("hi"))
+    and last revision number at which the alternative stands. Keys of no known field are there as fields of their own."""
+    per_book = values(conf).groupBy("field", "key", "type", "book").agg(F.count("*").alias("n"), F.min("revision").alias("lo"), F.max("revision").alias("hi"))
     return per_book.groupBy("field", "key", "type").agg(
         F.sum("n").alias("revisions"), F.count("*").alias("books"), F.min("lo").alias("first_revision"), F.max("hi").alias("last_revision")
     )

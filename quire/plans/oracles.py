@@ -396,3 +396,79 @@ SQL["log_errors_of_all"] = _LOG + """, none AS (SELECT DISTINCT c_custkey AS log
 SQL["first_captions"] = _PARTS + """ SELECT 'two-part' AS style, page, a || '.' || b AS fig_id, round(page % 900 / (150.0 / 72), 6) AS caption_y FROM t
     UNION ALL SELECT 'three-part', page, c || '.' || e || '.' || f, round(page % 900 / (150.0 / 72), 6) FROM t
     UNION ALL SELECT 'roman', page, r || '-' || g, round(page % 900 / (150.0 / 72), 6) FROM t WHERE r <> 'V'"""
+
+# --- every key of a configuration -------------------------------------------------------------------------------------
+_ALL_HELD = _P1_HELD.replace(
+    "           END AS field\n    FROM pairs",
+    r"""           ELSE upper(trim(regexp_replace(regexp_replace(key, '([a-z0-9])([A-Z])', '\1_\2', 'g'), '[^A-Za-z0-9]+', '_', 'g'), '_'))
+           END AS field
+    FROM pairs""",
+)
+SQL["p1_schema"] = _ALL_HELD + """SELECT field, key, type, count(*) AS revisions, count(DISTINCT book) AS books, min(revision) AS first_revision, max(revision) AS last_revision
+    FROM held GROUP BY field, key, type"""
+SQL["p1_values"] = _ALL_HELD + "SELECT book, revision, field, key, type, v AS value FROM held"
+SQL["p1_changes"] = (
+    _ALL_HELD
+    + """, steps AS (SELECT book, revision, lag(revision) OVER (PARTITION BY book ORDER BY revision) AS before FROM latest),
+    now AS (SELECT s.book, s.revision, h.field, h.key, h.type FROM steps s JOIN held h ON h.book IS NOT DISTINCT FROM s.book AND h.revision = s.revision WHERE s.before IS NOT NULL),
+    old AS (SELECT s.book, s.revision, h.field, h.key, h.type FROM steps s JOIN held h ON h.book IS NOT DISTINCT FROM s.book AND h.revision = s.before),
+    pair AS (SELECT coalesce(n.book, o.book) AS book, coalesce(n.revision, o.revision) AS revision, coalesce(n.field, o.field) AS field, o.key AS ok, n.key AS nk, o.type AS ot, n.type AS nt
+             FROM now n FULL JOIN old o ON o.book IS NOT DISTINCT FROM n.book AND o.revision = n.revision AND o.field = n.field)
+    SELECT book, revision, field, 'added' AS change FROM pair WHERE ok IS NULL UNION ALL SELECT book, revision, field, 'removed' FROM pair WHERE nk IS NULL
+    UNION ALL SELECT book, revision, field, 'renamed' FROM pair WHERE ok <> nk UNION ALL SELECT book, revision, field, 'retyped' FROM pair WHERE ot <> nt"""
+)
+
+# --- checks ---------------------------------------------------------------------------------------------------------------
+SQL["placeholder_planted"] = rf"""WITH {_FILES}, planted AS (SELECT file_id, regexp_replace(content, 'fig_[0-9_]+\.png', 'placeholder.png', 'g') AS content FROM files WHERE suffix = 'tex'),
+    l AS (SELECT file_id, unnest(string_split(content, chr(10))) AS line, generate_subscripts(string_split(content, chr(10)), 1) AS line_no FROM planted)
+    SELECT file_id, CAST(line_no AS INTEGER) AS line_no, line FROM l WHERE contains(line, 'placeholder.png')"""
+SQL["layout_of_all_books"] = _LAYOUT.replace("(SELECT DISTINCT book FROM source_file WHERE book IS NOT NULL)", "(SELECT DISTINCT book FROM (SELECT book FROM source_file UNION ALL SELECT book FROM chapter_range) WHERE book IS NOT NULL)")
+SQL["legacy_paths"] = r"""WITH p AS (SELECT DISTINCT CASE WHEN starts_with(rel_path, 'scripts/') THEN 'docs/progress.md' ELSE rel_path END AS p FROM source_file WHERE book IS NOT NULL AND length(book) % 3 = 0),
+    x AS (SELECT DISTINCT CASE WHEN p IN ('book.conf', 'docs/progress.md') THEN p WHEN regexp_matches(p, '^latex/ch[^/]*/') THEN regexp_extract(p, '^(latex/ch[^/]*)/', 1) END AS path FROM p)
+    SELECT path, CASE WHEN starts_with(path, 'latex/') THEN 'chapter_dir' ELSE 'file' END AS code FROM x WHERE path IS NOT NULL"""
+_SIX = f"""all_ AS (
+    SELECT 'layout' AS "check", book AS scope, rel_path AS object, 'missing' AS code FROM ({SQL["layout_required"]})
+    UNION ALL SELECT 'wrapper', book, stem, code FROM ({SQL["wrapper_integrity"]})
+    UNION ALL SELECT 'balance', book, name, code FROM ({SQL["env_balance"]})
+    UNION ALL SELECT 'marker', NULL, CAST(doc_id AS VARCHAR), marker FROM ({SQL["forbidden_scan"]})
+    UNION ALL SELECT 'leftover', f.book, CAST(x.file_id AS VARCHAR), 'note' FROM ({SQL["leftover_notes"]}) x JOIN of_file f USING (file_id)
+    UNION ALL SELECT 'image', f.book, CAST(x.file_id AS VARCHAR), 'placeholder' FROM ({SQL["placeholder_planted"]}) x JOIN of_file f USING (file_id)
+)"""
+_OF_FILE = "of_file AS (SELECT DISTINCT file_id, book FROM source_file)"
+SQL["violations_all"] = f"""WITH {_OF_FILE}, {_SIX} SELECT "check", code, count(*) AS n, count(DISTINCT scope) AS scopes FROM all_ GROUP BY ALL"""
+SQL["violations_of_a_book"] = f"""WITH {_OF_FILE}, {_SIX}, most AS (SELECT book FROM of_file WHERE book IS NOT NULL GROUP BY book ORDER BY count(*) DESC, book LIMIT 1)
+    SELECT "check", object, code, count(*) AS n FROM all_ WHERE scope = (SELECT book FROM most) GROUP BY ALL"""
+
+# --- progress, names, paths ------------------------------------------------------------------------------------------------
+SQL["check_lists"] = f"""WITH {_RANGES}, r AS (SELECT * FROM ranges WHERE title IS NOT NULL AND start_page IS NOT NULL)
+    SELECT book, chapter, 2 AS line_no, trim(title) AS section, 'pages from ' || start_page AS item, chapter % 2 = 0 AS done FROM r
+    UNION ALL SELECT book, chapter, 4, trim(title), 'chapter ' || chapter, true FROM r"""
+SQL["missing_stubs"] = f"""WITH {_RANGES} SELECT DISTINCT book, chapter FROM ranges r WHERE NOT EXISTS (SELECT 1 FROM source_file s WHERE s.book = r.book AND s.chapter = r.chapter)"""
+SQL["progress_sources"] = """SELECT book, arg_min(rel_path, r) AS rel_path FROM (
+    SELECT book, rel_path, CASE rel_path WHEN 'progress.md' THEN 1 WHEN 'latex/ch01/ch01.tex' THEN 2 WHEN 'book.conf' THEN 3 END AS r FROM source_file WHERE book IS NOT NULL) WHERE r IS NOT NULL GROUP BY book"""
+SQL["book_names"] = r"""SELECT name, coalesce(name <> '' AND NOT contains(name, '/') AND NOT contains(name, '\') AND NOT contains(name, '..'), false) AS plain
+    FROM (SELECT stem AS name FROM source_file UNION SELECT rel_path FROM source_file UNION SELECT stem || '..' FROM source_file UNION SELECT '')"""
+SQL["relative_paths"] = r"""SELECT DISTINCT file_id, CASE file_id % 3 WHEN 2 THEN './' || rel_path ELSE replace(rel_path, '\', '/') END AS path FROM source_file"""
+SQL["suite_history"] = _RES + """, s AS (SELECT min(suite) AS suite FROM r)
+    SELECT result_id, suite, model, CASE WHEN latency_ms IS NULL THEN 'old' END AS note, latency_ms FROM r WHERE suite = (SELECT suite FROM s)"""
+SQL["located_captions"] = """WITH spans AS (
+        SELECT l_orderkey AS page, 'Figure ' || l_partkey % 5 || CASE WHEN l_suppkey % 2 = 0 THEN '-1' ELSE '–1' END AS span_text, l_linenumber * CAST(1000000 AS BIGINT) + l_suppkey AS ord, l_suppkey AS s FROM lineitem
+    ), one AS (SELECT page, span_text, arg_min(s, ord) AS s FROM spans GROUP BY ALL),
+    w AS (SELECT o_orderkey AS page, 'Figure ' || o_custkey % 5 || '-1' AS caption, 'Figure ' || o_custkey % 5 || '–1' AS dashed FROM orders),
+    g AS (SELECT w.page, caption, coalesce(a.s, b.s) AS s FROM w LEFT JOIN one a ON a.page = w.page AND a.span_text = caption LEFT JOIN one b ON b.page = w.page AND b.span_text = dashed)
+    SELECT page, caption, CAST(s % 7 AS DOUBLE) AS x0, CAST(s % 11 AS DOUBLE) AS y0, CAST(s % 13 AS DOUBLE) AS x1, CAST(s % 17 AS DOUBLE) AS y1 FROM g"""
+
+# --- logs: joined line by line ----------------------------------------------------------------------------------------------
+SQL["log_unwrapped"] = (
+    _WIDTH.replace("WITH pages", "WITH RECURSIVE pages", 1)
+    + r""", n AS (
+        SELECT l.log_id, l.line_no, l.line, coalesce(w.width, -1) AS width,
+            regexp_matches(l.line, '^(?:(?:[A-Za-z]:)?[^:\r\n]+?\.(?:tex|sty|cls|clo|def|cfg|ltx|fd|aux|bbl|bst|toc|out)):(\d+):\s*(\S.*?)\s*$') OR regexp_matches(l.line, '^!\s*(\S.*?)\s*$') AS starts
+        FROM l LEFT JOIN widths w USING (log_id)
+    ), walk AS (
+        SELECT log_id, line_no, length(line) AS size, true AS fresh FROM n WHERE line_no = 1
+        UNION ALL
+        SELECT n.log_id, n.line_no, CASE WHEN w.size = n.width AND NOT n.starts THEN w.size + length(n.line) ELSE length(n.line) END, NOT (w.size = n.width AND NOT n.starts)
+        FROM walk w JOIN n ON n.log_id = w.log_id AND n.line_no = w.line_no + 1
+    ) SELECT log_id, count(*) FILTER (fresh) AS lines, CAST(max(size) AS INTEGER) AS longest FROM walk GROUP BY log_id"""
+)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.cluster import latest, read
-from quire.functions.text import slug
+from quire.functions.text import plain_name, slug
 from quire.operators import checks, figures, identity, inventory, logs, progress, results, rewrite, schema_drift, toc
 from quire.sources import readers, writers
 
@@ -36,6 +36,18 @@ def p1_table(spark: SparkSession, d: str) -> DataFrame:
     return schema_drift.consistent_table(read(spark, d, "book_conf"))
 
 
+@query
+def p1_values(spark: SparkSession, d: str) -> DataFrame:
+    """Every key of every revision in one consistent table."""
+    return schema_drift.values(read(spark, d, "book_conf"))
+
+
+@query
+def p1_changes(spark: SparkSession, d: str) -> DataFrame:
+    """The changes of all fields, not of the three alone."""
+    return schema_drift.all_changes(read(spark, d, "book_conf"))
+
+
 @query
 def p1_schema(spark: SparkSession, d: str) -> DataFrame:
     return schema_drift.fused_schema(read(spark, d, "book_conf"))
@@ -67,13 +79,14 @@ def figure_total(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def symbol_topk(spark: SparkSession, d: str) -> DataFrame:
-    return inventory.top_terms(_once(_files(spark, d, "tex"), "content"), "content", inventory.SYMBOLS, [], 40)
+    rows = _files(spark, d, "tex").withColumn("terms", inventory.terms_of(F.col("content"), inventory.SYMBOLS))
+    return inventory.top_of(_once(rows, "terms"), "terms", [], 40)
 
 
 @query
 def subscript_topk(spark: SparkSession, d: str) -> DataFrame:
-    rows = _once(_files(spark, d, "tex").where("chapter is not null"), "chapter", "content")
-    return inventory.top_terms(rows, "content", inventory.SUBSCRIPTS, ["chapter"], 40)
+    rows = _files(spark, d, "tex").where("chapter is not null").withColumn("terms", inventory.terms_of(F.col("content"), inventory.SUBSCRIPTS))
+    return inventory.top_of(_once(rows, "chapter", "terms"), "terms", ["chapter"], 40)
 
 
 @query
@@ -95,9 +108,9 @@ def _broken(c: Column) -> Column:
 
 @query
 def rewrite_chain(spark: SparkSession, d: str) -> DataFrame:
-    rows = _once(_files(spark, d, "tex").where("content is not null"), "content").withColumn("content", _broken(F.col("content")))
-    out = rewrite.rewritten(rows)
-    return out.select("file_id", F.md5("content").alias("content_md5"), *[c for c in out.columns if c.startswith("n_")], "changed", "total_fixes")
+    rows = _files(spark, d, "tex").where("content is not null").select("file_id", "loaded_at", _broken(F.col("content")).alias("content"))
+    out = rewrite.rewritten(rows).withColumn("content_md5", F.md5("content"))
+    return _once(out, "content_md5", *[c for c in out.columns if c.startswith("n_")], "changed", "total_fixes")
 
 
 @query
@@ -150,6 +163,54 @@ def forbidden_scan(spark: SparkSession, d: str) -> DataFrame:
     return checks.forbidden_markers(docs, ["doc_id"], "text")
 
 
+@query
+def placeholder_planted(spark: SparkSession, d: str) -> DataFrame:
+    """Carrier: the images of the sources replaced by placeholders."""
+    f = _files(spark, d, "tex").withColumn("content", F.regexp_replace("content", r"fig_[0-9_]+\.png", "placeholder.png"))
+    return checks.leftovers(f, ["file_id"], "content", r"placeholder\.png").distinct()
+
+
+@query
+def layout_of_all_books(spark: SparkSession, d: str) -> DataFrame:
+    """Required files that books lack, books without any file among them."""
+    return checks.missing_required(_files(spark, d), books=read(spark, d, "chapter_range"))
+
+
+@query
+def legacy_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Carrier: the files of every third book, by the length of its name, as if they lay at the root of the tree."""
+    own = F.length("book") % 3 == 0
+    path = F.when(own, F.when(F.col("rel_path").startswith("scripts/"), "docs/progress.md").otherwise(F.col("rel_path"))).otherwise(F.concat(F.lit("books/"), F.col("book"), F.lit("/"), F.col("rel_path")))
+    return checks.legacy_paths(_files(spark, d).where("book is not null").select(path.alias("path")))
+
+
+@query
+def violations_all(spark: SparkSession, d: str) -> DataFrame:
+    """All six checks as one table of violations, counted."""
+    return _violations(spark, d).groupBy("check", "code").agg(F.count("*").alias("n"), F.countDistinct("scope").alias("scopes"))
+
+
+@query
+def violations_of_a_book(spark: SparkSession, d: str) -> DataFrame:
+    """The violations of the book that has most files."""
+    book = _files(spark, d).where("book is not null").groupBy("book").agg(F.countDistinct("file_id").alias("n")).orderBy(F.desc("n"), "book").first()
+    return checks.of_book(_violations(spark, d), book["book"] if book else "").groupBy("check", "object", "code").agg(F.count("*").alias("n"))
+
+
+def _violations(spark: SparkSession, d: str) -> DataFrame:
+    of_file = _once(_files(spark, d), "book")
+    note, image = leftover_notes(spark, d).join(of_file, "file_id"), placeholder_planted(spark, d).join(of_file, "file_id")
+    none = F.lit(None).cast("string")
+    return checks.all_violations(
+        ("layout", layout_required(spark, d), [F.col("book"), F.col("rel_path"), F.lit("missing")]),
+        ("wrapper", wrapper_integrity(spark, d), [F.col("book"), F.col("stem"), F.col("code")]),
+        ("balance", env_balance(spark, d), [F.col("book"), F.col("name"), F.col("code")]),
+        ("marker", forbidden_scan(spark, d), [none, F.col("doc_id"), F.col("marker")]),
+        ("leftover", note, [F.col("book"), F.col("file_id"), F.lit("note")]),
+        ("image", image, [F.col("book"), F.col("file_id"), F.lit("placeholder")]),
+    )
+
+
 def _notice() -> Column:
     """Carrier: a notice after some documents, chosen by length, for the markers that the texts lack."""
     n = F.length("text") % 11
@@ -193,9 +254,10 @@ def figure_paths(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def figure_reconcile(spark: SparkSession, d: str) -> DataFrame:
-    f = _once(_files(spark, d, "tex").where("book is not null and content is not null"), "book", "content")
-    labels = f.select("book", F.explode(F.regexp_extract_all("content", F.lit(r"\\label\{fig:([\d_]+)\}"), F.lit(1))).alias("fig"))
-    images = f.select("book", F.explode(F.regexp_extract_all("content", F.lit(r"fig_([\d_]+)\.png"), F.lit(1))).alias("fig"))
+    f = _files(spark, d, "tex").where("book is not null and content is not null")
+    f = f.withColumn("labels", F.regexp_extract_all("content", F.lit(r"\\label\{fig:([\d_]+)\}"), F.lit(1))).withColumn("images", F.regexp_extract_all("content", F.lit(r"fig_([\d_]+)\.png"), F.lit(1)))
+    f = _once(f, "book", "labels", "images")
+    labels, images = f.select("book", F.explode("labels").alias("fig")), f.select("book", F.explode("images").alias("fig"))
     return figures.reconciled(labels, images, ["book", "fig"])
 
 
@@ -286,10 +348,8 @@ def front_text(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def text_layer(spark: SparkSession, d: str) -> DataFrame:
-    p = read(spark, d, "ocr_page").withColumn("text", F.length(F.regexp_replace("text", r"^\s+|\s+$", "")))
-    p = latest(p.select("ocr_id", "pdf", "text", "loaded_at"), ["ocr_id"], "loaded_at")
-    n = F.sum(F.coalesce("text", F.lit(0)).cast("bigint"))
-    return p.groupBy("pdf").agg(F.count("*").alias("pages"), n.alias("text_chars"), (n == 0).alias("needs_ocr"))
+    p = read(spark, d, "ocr_page").select("ocr_id", "pdf", "loaded_at", readers.page_chars(F.col("text")).alias("chars"))
+    return readers.text_layer(latest(p, ["ocr_id"], "loaded_at"))
 
 
 @query
@@ -336,6 +396,35 @@ def progress_shares(spark: SparkSession, d: str) -> DataFrame:
     return progress.roll_up(rows.select("book", (F.element_at("cells", -1) == "[x]").alias("done")), ["book"])
 
 
+@query
+def check_lists(spark: SparkSession, d: str) -> DataFrame:
+    """Carrier: each chapter as a check list of two items under its title."""
+    mark = F.when(F.col("chapter") % 2 == 0, "x").otherwise(" ")
+    text = F.concat(F.lit("# "), F.col("title"), F.lit("\n- ["), mark, F.lit("] pages from "), F.col("start_page").cast("string"), F.lit("\nplain\n  * [X] chapter "), F.col("chapter").cast("string"), F.lit("\n- [?] none"))
+    r = _ranges(spark, d).where("title is not null and start_page is not null").select("book", "chapter", text.alias("text"))
+    return progress.check_list(r, ["book", "chapter"], "text")
+
+
+@query
+def missing_stubs(spark: SparkSession, d: str) -> DataFrame:
+    """Chapters for which a stub is to be written: those without any file."""
+    return writers.create_if_absent(_ranges(spark, d).select("book", "chapter"), _files(spark, d).where("book is not null and chapter is not null"), ["book", "chapter"])
+
+
+@query
+def progress_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Each book's most preferred file to read its progress from."""
+    return results.first_present(_files(spark, d).where("book is not null"), ["book"], ["progress.md", "latex/ch01/ch01.tex", "book.conf"])
+
+
+@query
+def book_names(spark: SparkSession, d: str) -> DataFrame:
+    """Which stems and paths of files could name a directory."""
+    f = _files(spark, d).select("stem", "rel_path").distinct()
+    names = f.select(F.explode(F.array("stem", "rel_path", F.concat("stem", F.lit("..")), F.lit(""))).alias("name"))
+    return names.distinct().select("name", plain_name(F.col("name")).alias("plain"))
+
+
 @query
 def chapter_page_text(spark: SparkSession, d: str) -> DataFrame:
     """The scanned text of every chapter's pages."""
@@ -406,9 +495,18 @@ def wrap_width(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def log_unwrapped(spark: SparkSession, d: str) -> DataFrame:
-    p = latest(read(spark, d, "ocr_page").where("text is not null").select("ocr_id", "text", "loaded_at"), ["ocr_id"], "loaded_at")
-    out = logs.unwrapped(p.select(F.col("ocr_id").alias("log_id"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")))
-    return out.groupBy("log_id").agg(F.count("*").alias("lines"), F.max(F.length("line")).alias("longest"))
+    """Scanned texts as if they were logs; equal rows of one page give equal lines, counted once."""
+    p = read(spark, d, "ocr_page").where("text is not null").select(F.struct("ocr_id", "loaded_at", F.xxhash64("text").alias("h")).alias("log_id"), "text")
+    out = logs.unwrapped_texts(p, "log_id", "text").select("log_id.*", "line_no", F.length("line").alias("n")).distinct()
+    out = out.groupBy("ocr_id", "loaded_at", "h").agg(F.count("*").alias("lines"), F.max("n").alias("longest"))
+    return latest(out, ["ocr_id"], "loaded_at").select(F.col("ocr_id").alias("log_id"), "lines", "longest")
+
+
+@query
+def relative_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Carrier: paths as logs of three machines write them."""
+    p = F.when(F.col("file_id") % 3 == 0, F.concat(F.lit("/work/tree/"), F.col("rel_path"))).when(F.col("file_id") % 3 == 1, F.concat(F.lit("\\work\\tree\\"), F.replace("rel_path", F.lit("/"), F.lit("\\")))).otherwise(F.concat(F.lit("./"), F.col("rel_path")))
+    return _files(spark, d).select("file_id", logs.relative_path(p, "/work/tree/").alias("path")).distinct()
 
 
 # --- figures --------------------------------------------------------------------------------------------------------------
@@ -416,7 +514,7 @@ def _caption_text(spark: SparkSession, d: str) -> DataFrame:
     """Carrier: parts as pages with captions of all styles."""
     k = F.col("p_partkey")
     text = F.concat(
-        F.lit("See Figure "), (k % 5 + 1).cast("string"), F.lit("."), (k % 13).cast("string"), F.lit(" and figure  "), (k % 3).cast("string"), F.lit("."), (k % 4).cast("string"), F.lit("."), (k % 30).cast("string"),
+        F.lit("See Figure "), (k % 5 + 1).cast("string"), F.lit("."), (k % 13).cast("string"), F.lit(" and Figure  "), (k % 3).cast("string"), F.lit("."), (k % 4).cast("string"), F.lit("."), (k % 30).cast("string"),
         F.lit("; Figure "), F.element_at(F.array(*map(F.lit, ("I", "II", "III", "IV", "V"))), (k % 5 + 1).cast("int")), F.lit(" - "), (k % 20).cast("string"), F.when(k % 2 == 0, F.lit("a")).otherwise(F.lit("")),
     )
     return read(spark, d, "part").select(F.col("p_size").alias("book"), k.alias("page"), text.alias("text"))
@@ -481,6 +579,20 @@ def nearest_blocks(spark: SparkSession, d: str) -> DataFrame:
     return figures.nearest_above(caps, blocks, ["page"], "caption_y", "y1", 10)
 
 
+@query
+def located_captions(spark: SparkSession, d: str) -> DataFrame:
+    """Carrier: lines of an order as spans of a page; captions are looked for in two spellings."""
+    k = (F.col("l_partkey") % 5).cast("string")
+    spans = read(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("page"), F.concat(F.lit("Figure "), k, F.when(F.col("l_suppkey") % 2 == 0, F.lit("-1")).otherwise(F.lit("–1"))).alias("span_text"), (F.col("l_linenumber").cast("bigint") * 1_000_000 + F.col("l_suppkey")).alias("ord"),
+        *[(F.col("l_suppkey") % n).cast("double").alias(c) for n, c in ((7, "x0"), (11, "y0"), (13, "x1"), (17, "y1"))],
+    )
+    n = (F.col("o_custkey") % 5).cast("string")
+    wanted = read(spark, d, "orders").select(F.col("o_orderkey").alias("page"), F.concat(F.lit("Figure "), n, F.lit("-1")).alias("caption"), F.concat(F.lit("Figure "), n, F.lit("–1")).alias("dashed"))
+    out = figures.located(wanted, spans, ["page"], "caption", "dashed")
+    return out.select("page", "caption", "rect.x0", "rect.y0", "rect.x1", "rect.y1")
+
+
 # --- results ------------------------------------------------------------------------------------------------------------
 @query
 def results_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -493,6 +605,15 @@ def result_errors(spark: SparkSession, d: str) -> DataFrame:
     return r.select("result_id", results.error_class(F.col("error_message")).alias("error_class"), results.holds_metadata(F.col("test_name")).alias("holds_metadata"))
 
 
+@query
+def suite_history(spark: SparkSession, d: str) -> DataFrame:
+    """Carrier: results without a latency as the history, the others as a new run that lacks one column; one suite of both."""
+    r = latest(read(spark, d, "filter_test_result").select("result_id", "suite", "model", "latency_ms", "loaded_at"), ["result_id"], "loaded_at").drop("loaded_at")
+    both = results.appended(r.where("latency_ms is null").drop("latency_ms").withColumn("note", F.lit("old")), r.where("latency_ms is not null"))
+    first = r.where("suite is not null").agg(F.min("suite")).first()[0]
+    return results.selected(both, first)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(Q)
 

@@ -99,7 +99,13 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RESULT_SCHEMA).option("multiLine", "true").json(path)
 
 
-def text_layer(pages: DataFrame, key: str = "pdf", text: str = "text") -> DataFrame:
-    """(key, pages, text_chars, needs_ocr): a document whose pages hold no character but blanks has no text layer."""
-    n = F.sum(F.coalesce(F.length(F.regexp_replace(F.col(text), r"^\s+|\s+$", "")), F.lit(0)).cast("bigint"))
+def page_chars(text: Column) -> Column:
+    """Characters of a page without the blanks at its ends, 0 for none: all that the text layer needs of it."""
+    return F.coalesce(F.length(F.regexp_replace(text, r"^\s+|\s+$", "")), F.lit(0)).cast("bigint")
+
+
+def text_layer(pages: DataFrame, key: str = "pdf", chars: str = "chars") -> DataFrame:
+    """(key, pages, text_chars, needs_ocr): a document whose pages hold no character but blanks has no text layer. ``chars``
+    holds ``page_chars`` of each page."""
+    n = F.sum(chars)
     return pages.groupBy(key).agg(F.count("*").alias("pages"), n.alias("text_chars"), (n == 0).alias("needs_ocr"))

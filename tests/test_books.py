@@ -149,8 +149,9 @@ def test_nearest_above(spark):
 
 def test_paths_by_place_and_reconcile(spark):
     env = lambda n, img: f"\\begin{{figure}}\\includegraphics[x]{{{img}}}\\caption{{c}}\\label{{fig:{n}}}\\end{{figure}}"
-    f = spark.createDataFrame([("b", env("1.2.3", "placeholder.png") + " mid " + env("1.2.4", "placeholder.png")), ("c", "none"), ("b", None)], "book string, content string")
-    figs = spark.createDataFrame([("b", "1.2.4", "figures/ch01/fig_1_2_4.png")], "book string, fig_id string, path string")
+    f = spark.createDataFrame([("b", env("1.2.3", "placeholder.png") + " mid " + env("1.2.4", "placeholder.png")), ("c", "none"), ("b", None)], "book string, content string").selectExpr("*", "hash(book, content) as file_id", "'x' as path")
+    # of two paths of one figure the least counts
+    figs = spark.createDataFrame([("b", "1.2.4", "figures/ch01/fig_1_2_4.png"), ("b", "1.2.4", "figures/ch02/other.png"), (None, None, None)], "book string, fig_id string, path string")
     got = {r.book + str(r.changed): r.content for r in figures.rewritten_paths(f, figs, ["book"]).collect()}
     assert got["bTrue"] == env("1.2.3", "placeholder.png") + " mid " + env("1.2.4", "figures/ch01/fig_1_2_4.png").replace("[x]", "[width=0.8\\textwidth]")
     assert got["cFalse"] == "none" and got["bFalse"] is None
@@ -194,7 +195,7 @@ def test_readers_and_writers(spark, tmp_path):
     (tmp_path / "l.log").write_text("! E\r\nl.3 x")
     assert readers.read_logs(spark, str(tmp_path / "l.log")).count() == 2
     pages = spark.createDataFrame([("a", " "), ("a", None), ("b", " x ")], "pdf string, text string")
-    assert {r.pdf: r.needs_ocr for r in readers.text_layer(pages).collect()} == {"a": True, "b": False}
+    assert {r.pdf: r.needs_ocr for r in readers.text_layer(pages.select("pdf", readers.page_chars(F.col("text")).alias("chars"))).collect()} == {"a": True, "b": False}
     changed = writers.changed_only(spark.createDataFrame([(1, "a", "a"), (2, "a", "b"), (3, None, None)], "i int, o string, n string"), "o", "n")
     assert [r.i for r in changed.collect()] == [2]
     assert one(spark, 612.0, "double", lambda c: writers.page_geometry(c, F.lit(792.0))) == "\\geometry{paperwidth=8.50in,paperheight=11.00in}"

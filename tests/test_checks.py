@@ -1,5 +1,7 @@
 """Structural checks on small trees."""
 
+from pyspark.sql import functions as F
+
 from quire.operators import checks, inventory
 
 
@@ -68,3 +70,14 @@ def test_top_terms_ties(spark):
     f = spark.createDataFrame([("\\beta \\alpha \\alphabet \\beta \\alpha \\gamma",), (None,)], "content string")
     assert [(r.term, r.n) for r in inventory.top_terms(f, "content", inventory.SYMBOLS, [], 2).collect()] == [("\\alpha", 2), ("\\beta", 2)]
     assert inventory.top_terms(spark.createDataFrame([], "content string"), "content", inventory.SYMBOLS, [], 2).count() == 0
+
+
+def test_legacy_paths_and_books_without_files(spark):
+    paths = spark.createDataFrame([("book.conf",), ("docs/progress.md",), ("latex/ch01/a.tex",), ("latex/ch01/b.tex",), ("latex/chX/c.tex",), ("latex/ch09.tex",), ("books/b/book.conf",), (None,)], "path string")
+    assert sorted(map(tuple, checks.legacy_paths(paths).collect())) == [("book.conf", "file"), ("docs/progress.md", "file"), ("latex/ch01", "chapter_dir"), ("latex/chX", "chapter_dir")]
+    assert checks.legacy_paths(paths.limit(0)).count() == 0
+    files = spark.createDataFrame([("a", p) for p in checks.REQUIRED_FILES] + [(None, "book.conf")], "book string, rel_path string")
+    books = spark.createDataFrame([("a",), ("b",), (None,)], "book string")
+    assert {tuple(r) for r in checks.missing_required(files, books=books).collect()} == {("b", p) for p in checks.REQUIRED_FILES}
+    rows = checks.all_violations(("layout", checks.missing_required(files, books=books), [F.col("book"), F.col("rel_path"), F.lit("missing")]))
+    assert checks.of_book(rows, "b").count() == 4 and checks.of_book(rows, "a").count() == 0

@@ -85,3 +85,25 @@ def test_files_beyond_the_most_frequent_are_counted(spark):
     assert [r.errors for r in logs.top_files(files, 10).collect()] == list(range(14, 4, -1))
     assert [tuple(r) for r in logs.files_beyond(files, 10).collect()] == [(4, 10)]
     assert [tuple(r) for r in logs.files_beyond(files.where("errors > 8"), 10).collect()] == [(0, 0)]
+
+
+def test_texts_unwrapped_where_they_are_read_equal_the_lines(spark):
+    import random
+
+    random.seed(4)
+    texts = []
+    for k in range(60):
+        width = random.choice([60, 72, 79])
+        lines = []
+        for _ in range(random.randrange(0, 40)):
+            n = random.choice([width, width, width, width * 2, random.randrange(0, width + 3)])
+            record = random.choice(["", "", "! Missing $", "./a.tex:3: Undefined"])
+            t = (record + "x" * n)[: max(n, 0)]
+            lines += [t[i : i + width] for i in range(0, len(t), width)] or [""]
+        texts.append((k, "\n".join(lines)))
+    texts += [(100, None), (101, "")]
+    df = spark.createDataFrame(texts, "log_id long, t string")
+    rows = df.where("t is not null").selectExpr("log_id", "posexplode(split(t, '\n', -1)) as (line_no, line)")
+    want = {(r.log_id, r.line_no, r.line) for r in logs.unwrapped(rows).collect()}
+    got = [(r.log_id, r.line_no, r.line) for r in logs.unwrapped_texts(df, "log_id", "t").collect()]
+    assert set(got) == want and len(got) == len(want) and logs.wrap_widths(rows).count() > 20

@@ -88,3 +88,14 @@ def test_blocked_lag_is_lag(spark):
 def test_latest_breaks_ties_and_takes_null_first(spark):
     df = spark.createDataFrame([(1, None, "z"), (1, T0, "a"), (1, T0, "b"), (2, None, "x")], "id int, t timestamp, v string")
     assert {r.id: r.v for r in latest(df, ["id"], "t").collect()} == {1: "b", 2: "x"}
+
+
+def test_every_key_is_a_field(spark):
+    rows = [("b", 1, 1, {"PAGE_COUNT": "7", "CH01_PAGES": "1-9", "Title": " "}), ("b", 2, 1, {"pageCount": "7.5", "ch01-pages": "[1, 9]", "": "x"}), ("b", 3, 1, None), (None, 1, 1, {"A_B": "true", "aB": "2"})]
+    df = spark.createDataFrame(rows, "book string, revision int, loaded_at int, conf map<string,string>").selectExpr("*", "0 as field", "1 as committed_at")
+    got = {tuple(r) for r in S.values(df).collect()}
+    assert got == {("b", 1, "PAGE_COUNT", "PAGE_COUNT", "integer", "7"), ("b", 1, "CH01_PAGES", "CH01_PAGES", "range", "1-9"), ("b", 2, "PAGE_COUNT", "pageCount", "decimal", "7.5"), ("b", 2, "CH01_PAGES", "ch01-pages", "list", "[1, 9]"), (None, 1, "A_B", "A_B", "boolean", "true")}
+    changes = {tuple(r) for r in S.all_changes(df).collect()}
+    assert changes == {("b", 2, f, c) for f in ("PAGE_COUNT", "CH01_PAGES") for c in ("renamed", "retyped")} | {("b", 3, f, "removed") for f in ("PAGE_COUNT", "CH01_PAGES")}
+    assert {(r.field, r.key) for r in S.fused_schema(df).collect()} >= {("CH01_PAGES", "ch01-pages"), ("A_B", "A_B")}
+    assert S.values(df.limit(0)).count() == S.all_changes(df.limit(0)).count() == 0
