@@ -6,11 +6,13 @@
 3. Each letter stands for its class of look-alikes. A text whose classes hold no letter that is only Cyrillic or only
    Greek is written in Latin. In any other text each token is a lattice of look-alikes; Viterbi picks each token's
    reading under character bigram scores of one script, then the scripts of the tokens of a line, with a cost for a
-   change of script inside a word and a smaller one between words.
+   change of script inside a word and a smaller one between words. In a word with a letter that is only Latin and none
+   that is only of another script, letters that are alike in such company alone (kappa, rho, iota, some Armenian and
+   Cherokee ones) may be read as Latin, at a cost: here the scores decide whether two texts are one.
 4. Canonical composition.
 
-The lattice of a text depends on its classes alone, so two texts that look the same get the same form whatever
-characters they were written with, and two that look different cannot.
+The lattice of a text depends on its classes alone, so two texts of equal classes get the same form whatever characters
+they were written with; texts of different classes get one form only by letters that are alike in company.
 
 Character scores are bigram counts over every token of one script in the corpus; the count table is bounded by the
 square of the letters of three scripts (the rest is one symbol), so it is the size of an alphabet, not of the corpus.
@@ -64,12 +66,45 @@ j ј -
 o о ο
 p р -
 q ԛ -
+Q Ԛ -
+W Ԝ -
 s ѕ -
 v - ν
 w ԝ -
 x х -
 y у -
 """
+#: Letters of other scripts that are taken for a Latin one inside a Latin word only: there the lattice holds
+#: both, elsewhere they are letters of their own.
+WEAK = """
+i ι
+k к κ
+p ρ
+u υ ս
+h հ
+n ո
+o օ
+q զ
+g ց
+A Ꭺ
+B Ᏼ
+C Ꮯ
+D Ꭰ
+E Ꭼ
+G Ꮐ
+H Ꮋ
+J Ꭻ
+K Ꮶ
+L Ꮮ
+M Ꮇ
+P Ꮲ
+R Ꭱ
+S Ꮪ
+T Ꭲ
+V Ꮩ
+W Ꮃ
+Z Ꮓ
+"""
 #: Ignorable characters (deleted), blanks (one plain blank), hyphens that look like the plain one.
 IGNORABLE = "­͏؜ᅟᅠ឴឵᠎​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ\U000e0000-\U000e0fff"
 BLANKS = "\t   -   　"
@@ -80,6 +115,8 @@ _ROWS = [tuple(None if x == "-" else x for x in line.split()) for line in LOOKAL
 #: Every member of a class -> the class's Latin letter.
 TO_CLASS = {ord(x): row[0] for row in _ROWS for x in row if x}
 READINGS = {row[0]: row for row in _ROWS}
+TAKEN_FOR = {x: row[0] for row in map(str.split, WEAK.strip().split("\n")) for x in row[1:]}
+_WEAK = re.compile(f"[{''.join(TAKEN_FOR)}]")
 _IGNORED = re.compile(f"[{IGNORABLE}]")
 _BLANK = re.compile(f"[{BLANKS}]")
 _HYPHEN = re.compile(f"[{HYPHENS}]")
@@ -150,7 +187,7 @@ def count_pairs(texts: list[str | None]) -> Counter:
 class Reader:
     """Viterbi over look-alike lattices with bigram scores of one corpus."""
 
-    SWITCH_IN_WORD, SWITCH_BETWEEN = 12.0, 2.0
+    SWITCH_IN_WORD, SWITCH_BETWEEN, IN_COMPANY = 12.0, 2.0, 3.0
 
     def __init__(self, counts: dict[tuple[int, str, str], int]) -> None:
         first: Counter = Counter()
@@ -169,20 +206,23 @@ class Reader:
         if (got := self.cache.get(tok)) is not None:
             return got
         best: dict[int, tuple[float, str, str]] | None = None
+        own = [(script_of(c), c in TAKEN_FOR) for c in tok if c not in READINGS]
+        company = any(s == 0 for s, _ in own) and not any(s in (1, 2) and not weak for s, weak in own)
         for ch in tok:
-            row = READINGS.get(ch)
-            if row is None and (s := script_of(ch)) is None:  # a mark belongs to the letter before it
+            row, taken, s = READINGS.get(ch), TAKEN_FOR.get(ch) if company else None, script_of(ch)
+            if row is None and s is None and taken is None:  # a mark belongs to the letter before it
                 best = {k: (v, r + ch, p) for k, (v, r, p) in (best or {0: (0.0, "", "^")}).items()}
                 continue
-            options = [(i, x) for i, x in enumerate(row) if x] if row else [(s, ch)]
+            options = [(i, x, 0.0) for i, x in enumerate(row) if x] if row else [(s, ch, 0.0)] if s is not None else []
+            options += [(0, taken, self.IN_COMPANY)] if taken is not None else []
             step = {}
-            for i, x in options:
+            for i, x, cost in options:
                 low = x.lower()
                 if best is None:
-                    step[i] = (self._pair(i, "^", low), x, low)
+                    step[i] = (self._pair(i, "^", low) - cost, x, low)
                 else:
                     v, r, j = max((v + self._pair(i, p if j == i else "^", low) - (self.SWITCH_IN_WORD if j != i else 0), r, j) for j, (v, r, p) in best.items())
-                    step[i] = (v, r + x, low)
+                    step[i] = (v - cost, r + x, low)
             best = step
         out = tuple((v + self._pair(i, p, "$"), r, i) for i, (v, r, p) in sorted((best or {}).items()))
         if len(self.cache) > 500_000:
@@ -224,7 +264,7 @@ class Reader:
         if seen.isascii():
             return seen
         allowed = {0} | ({1} if _CYRILLIC.search(seen) else set()) | ({2} if _GREEK.search(seen) else set())
-        if len(allowed) > 1:
+        if len(allowed) > 1 or _WEAK.search(seen):
             seen = "\n".join(self.line(x, allowed) for x in seen.split("\n"))
         return unicodedata.normalize("NFC", seen)
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quire.functions.cluster import read
 from quire.llm import lookalike, mixing, ocr, parsing, spans, splitting, tokens, truncation
@@ -72,9 +73,15 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.token_ids(read(spark, d, "documents"))
 
 
-def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def p7_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Ids decoded again: the texts by their hash and length, null texts as empty ones."""
+    out = tokens.decoded(tokens.token_ids(read(spark, d, "documents")))
+    return out.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").cast("bigint").alias("chars"))
+
+
+def _mix(spark: SparkSession, d: str, size: int | str | None = None) -> tuple[DataFrame, DataFrame]:
     sizes = mixing.counted(read(spark, d, "documents"))
-    return sizes, mixing.rates(sizes, read(spark, d, "mix_target"))
+    return sizes, mixing.rates(sizes, read(spark, d, "mix_target"), size)
 
 
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -86,6 +93,16 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(mixing.chosen(sizes, rate), rate)
 
 
+def p8_exact_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The largest mixes in which every share is met."""
+    return mixing.chosen(*_mix(spark, d, mixing.EXACT))
+
+
+def p8_exact_shares(spark: SparkSession, d: str) -> DataFrame:
+    sizes, rate = _mix(spark, d, mixing.EXACT)
+    return mixing.shares(mixing.chosen(sizes, rate), rate)
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     pairs = lookalike.same_looking(read(spark, d, "documents"))
     return pairs.withColumnsRenamed({"a": "doc_id_a", "b": "doc_id_b"})
@@ -96,7 +113,7 @@ def p9_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_text_pieces, p3_found, p3_text, p4_found, p4_portions, p4_groups, p5_found, p5_files, p5_rates, p6_found, p6_cases, p6_rates, p7_ids, p8_mix, p8_shares, p9_found, p9_text)}
+    return {f.__name__: f for f in (p2_found, p2_text_pieces, p3_found, p3_text, p4_found, p4_portions, p4_groups, p5_found, p5_files, p5_rates, p6_found, p6_cases, p6_rates, p7_ids, p7_round_trip, p8_mix, p8_shares, p8_exact_mix, p8_exact_shares, p9_found, p9_text)}
 
 
 P2_FOUND = """
@@ -123,5 +140,8 @@ SELECT book, chapter, CAST(s AS INTEGER) AS piece_start, CAST(e AS INTEGER) AS p
 """
 
 
+P7_ROUND_TRIP = "SELECT doc_id, md5(coalesce(text, '')) AS text_md5, length(coalesce(text, '')) AS chars FROM documents"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": P2_FOUND}
+    return {"p2_found": P2_FOUND, "p7_round_trip": P7_ROUND_TRIP}

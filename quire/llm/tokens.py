@@ -1,12 +1,14 @@
 """Problem 7: a whole corpus as ids of a public byte-level BPE vocabulary, by recursive DuckDB queries per partition.
 
 Each Arrow batch is cut into words by the vocabulary's own pattern. The words not met before by this worker go to an
-in-process DuckDB as token-position rows; a recursive query joins them with the merge table and contracts each word's
-leftmost pair of least rank until no word has a pair left; an ordered aggregation gives each word's ids. A worker keeps
-the ids of the words it has met, so the query runs on new words only, and no shuffle is needed at any size.
+in-process DuckDB as token-position rows; a recursive query joins them with the merge table and contracts, in each word,
+all places of its pair of least rank from the left, until no word has a pair left; an ordered aggregation gives each
+word's ids. (A pair made by a merge ranks after that merge, so all places of one pair are contracted before any other.) A
+worker keeps the ids of the words it has met, so the query runs on new words only, and no shuffle is needed at any size.
+``decoded`` gives the texts back: ids join the vocabulary's pieces, an ordered aggregation writes them.
 
-Words of more than ``LONG`` bytes (runs of blanks, texts without blanks) would need as many rounds as they have bytes;
-they take the same rule with a heap, in n log n.
+A word needs one round for each different pair it merges. Words of more than ``LONG`` bytes (texts without blanks) can
+need thousands; they take the same rule with a heap, in n log n.
 
 Defined cases: null and empty text give an empty list; blank text is encoded like any other; strings that look like
 special tokens are ordinary text; repeated rows are encoded each for itself; extra columns are ignored.
@@ -20,6 +22,7 @@ import os
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +31,7 @@ from quire.functions.cluster import spread
 
 VOCAB_DIR = "/opt/tokenizers"
 VOCAB = "byte_bpe_50k.json"
-LONG = 64
+LONG = 512
 KEEP = 1_000_000  # words a worker keeps before it starts anew
 
 #: The word pattern that belongs to the vocabulary.
@@ -38,25 +41,36 @@ STEP = """
 WITH RECURSIVE state(step, w, pos, tok) AS (
     SELECT 0, w, pos, tok FROM start
     UNION ALL
-    SELECT step + 1, w, pos, CASE WHEN pos = cut THEN merged ELSE tok END
+    SELECT step + 1, w, pos, CASE WHEN hit THEN merged ELSE tok END
     FROM (
-        SELECT *, min(CASE WHEN rank = best THEN pos END) OVER (PARTITION BY w) AS cut
+        SELECT *, lag(hit, 1, false) OVER (PARTITION BY w ORDER BY pos) AS eaten
         FROM (
-            SELECT p.step, p.w, p.pos, p.tok, p.before, m.rank, m.merged, min(m.rank) OVER (PARTITION BY p.w) AS best
+            -- of places that overlap, in a run of one token, every second one from the left
+            SELECT *, place AND (nth - max(CASE WHEN NOT place THEN nth ELSE 0 END) OVER (PARTITION BY w ORDER BY pos)) % 2 = 1 AS hit
             FROM (
-                SELECT step, w, pos, tok,
-                       lead(tok) OVER (PARTITION BY w ORDER BY pos) AS after,
-                       lag(pos) OVER (PARTITION BY w ORDER BY pos) AS before
-                FROM state
-            ) p LEFT JOIN merges m ON p.tok = m.l AND p.after = m.r
-        ) WHERE best IS NOT NULL
-    ) WHERE before IS DISTINCT FROM cut
+                SELECT *, coalesce(rank = best, false) AS place
+                FROM (
+                    SELECT p.step, p.w, p.pos, p.tok, p.nth, m.rank, m.merged, min(m.rank) OVER (PARTITION BY p.w) AS best
+                    FROM (
+                        SELECT step, w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS after, row_number() OVER (PARTITION BY w ORDER BY pos) AS nth
+                        FROM state
+                    ) p LEFT JOIN merges m ON p.tok = m.l AND p.after = m.r
+                ) WHERE best IS NOT NULL
+            )
+        )
+    ) WHERE NOT eaten
 )
 SELECT w, list(tok ORDER BY pos) AS ids
 FROM state JOIN (SELECT w, max(step) AS step FROM state GROUP BY w) USING (w, step)
 GROUP BY w
 """
 
+PIECES = """
+SELECT row, string_agg(piece, '' ORDER BY pos) AS written
+FROM ids JOIN pieces ON ids.id = pieces.id
+GROUP BY row
+"""
+
 
 def printable_bytes() -> dict[str, int]:
     """The vocabulary writes a byte as a printable character: itself where it is one, else the next from U+0100."""
@@ -87,6 +101,13 @@ class Encoder:
         self.db.register("given", table)
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
         self.db.unregister("given")
+        bytes_ = printable_bytes()
+        self.pieces = {i: p for p, i in ids.items() if all(c in bytes_ for c in p)}
+        self.octets = {ord(c): b for c, b in bytes_.items()}
+        table = pa.table({"id": pa.array(list(self.pieces), pa.int32()), "piece": pa.array(list(self.pieces.values()), pa.string())})
+        self.db.register("given", table)
+        self.db.execute("CREATE TABLE pieces AS SELECT * FROM given")
+        self.db.unregister("given")
         self.known: dict[str, list[int]] = {}
 
     def learn(self, words: list[str], block: int = 4000) -> None:
@@ -112,6 +133,17 @@ class Encoder:
             for k, ids in zip(got.column("w").to_pylist(), got.column("ids").to_pylist()):
                 self.known[part[k][0]] = ids
 
+    def decode(self, rows: pa.ListArray) -> list[str]:
+        """The text of each row's ids; ids that are no piece of a text are left out, malformed bytes replaced."""
+        lengths = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        total = int(lengths.sum())
+        ids = pa.table({"row": pa.array(np.repeat(np.arange(len(lengths)), lengths)), "pos": pa.array(np.arange(total)), "id": rows.flatten().cast(pa.int32())})
+        self.db.register("ids", ids)
+        got = self.db.sql(PIECES).to_arrow_table()
+        self.db.unregister("ids")
+        written = dict(zip(got.column("row").to_pylist(), got.column("written").to_pylist()))
+        return [bytes(map(self.octets.__getitem__, map(ord, written.get(k, "")))).decode("utf-8", "replace") for k in range(len(lengths))]
+
     def by_heap(self, toks: list[int]) -> list[int]:
         """The same contraction of the leftmost pair of least rank, for one long word."""
         n, rank = len(toks), self.rank
@@ -179,6 +211,20 @@ def token_ids(docs: DataFrame, key: str = "doc_id", text: str = "text", vocab_di
     return spread(docs.select(key, text)).mapInArrow(run, f"`{key}` {kind}, ids array<int>")
 
 
+def decoded(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", vocab_dir: str = VOCAB_DIR) -> DataFrame:
+    """(key, text) of rows of ids; no ids give an empty text."""
+    shared, kind = _vocabulary(encoded, vocab_dir), encoded.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = _encoder(shared.value)
+        for batch in batches:
+            for a in range(0, batch.num_rows, 1000):  # a bounded number of rows to a query
+                part = batch.slice(a, 1000)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(enc.decode(part.column(1)), pa.string())], [key, "text"])
+
+    return encoded.select(key, ids).mapInArrow(run, f"`{key}` {kind}, text string")
+
+
 def token_counts(docs: DataFrame, keep: list[str], text: str = "text", vocab_dir: str = VOCAB_DIR) -> DataFrame:
     """``keep`` columns and n_tokens of each row's text, 0 for null and empty text."""
     shared = _vocabulary(docs, vocab_dir)

@@ -186,7 +186,7 @@ def test_mix_meets_targets(spark):
     sizes = [(i, "a", 10 + i % 5) for i in range(20_000)] + [(20_000 + i, "b", 50) for i in range(3_000)] + [(30_000 + i, "c", 0) for i in range(5)] + [(40_000, None, 5)]
     s = spark.createDataFrame(sizes, "doc_id long, source string, n_tokens long")
     t = spark.createDataFrame([("m", "a", 0.25, 2), ("m", "b", 0.7, 4), ("m", "gone", 0.05, 3), ("n", "a", 0.5, 1), ("n", "a", 0.5, 2), (None, "a", 1.0, 1), ("o", "c", 1.0, 2)], "mix_name string, source string, target_share double, max_repeats int")
-    r = mixing.rates(s, t)
+    r = mixing.rates(s, t, mixing.EXACT)
     picked = mixing.chosen(s, r)
     shares = {(x.mix_name, x.source): x for x in mixing.shares(picked, r).collect()}
     assert abs(shares[("m", "a")].actual_share - 0.25 / 0.95) < 0.01 and abs(shares[("m", "b")].actual_share - 0.7 / 0.95) < 0.01
@@ -198,6 +198,39 @@ def test_mix_meets_targets(spark):
     assert mixing.chosen(s.limit(0), mixing.rates(s.limit(0), t)).count() == 0
 
 
+def test_mix_of_all_tokens_reports_what_caps_keep_short(spark):
+    sizes = [(i, "a", 12) for i in range(20_000)] + [(20_000 + i, "b", 50) for i in range(3_000)]
+    s = spark.createDataFrame(sizes, "doc_id long, source string, n_tokens long")
+    t = spark.createDataFrame([("m", "a", 0.25, 2), ("m", "b", 0.75, 1), ("n", "a", 0.5, 2), ("n", "b", 0.5, 4), ("n", "gone", 0.0, 1)], "mix_name string, source string, target_share double, max_repeats int")
+    r = mixing.rates(s, t)
+    got = {(x.mix_name, x.source): x for x in mixing.shares(mixing.chosen(s, r), r).collect()}
+    b = got[("m", "b")]  # 390,000 tokens are listed: b should give 292,500 and has 150,000
+    assert (b.rate, b.documents, b.mix_tokens, b.shortfall_tokens) == (1.0, 3000, 150_000, 142_500.0)
+    assert abs(got[("m", "a")].mix_tokens - 97_500) < 2500 and got[("m", "a")].shortfall_tokens == 0
+    assert abs(got[("n", "a")].actual_share - 0.5) < 0.01 and got[("n", "b")].shortfall_tokens == 0 and got[("n", "gone")].rate is None
+    small = mixing.rates(s, t, 10_000)
+    rows = mixing.shares(mixing.chosen(s, small), small).where("mix_name = 'n'").collect()
+    assert abs(sum(x.mix_tokens for x in rows) - 10_000) < 1500
+
+
+@has_vocabulary
+def test_round_trip(spark):
+    texts = [(1, "Hello world"), (2, None), (3, ""), (4, " \n "), (5, "é中🙂𝔸\u200b" * 40), (6, "a" * 700 + " " * 600 + "x"), (7, "<|endoftext|>")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in tokens.decoded(tokens.token_ids(df)).collect()} == {k: t or "" for k, t in texts}
+    assert tokens.decoded(tokens.token_ids(df.limit(0))).count() == 0
+
+
+def test_letters_alike_in_company(spark):
+    """Scores decide: a Greek or Cyrillic letter in a Latin word is read as Latin, a word of its own script stays."""
+    docs = ["the kernel of the operator is a power", "the кernel of the oρerator is a ρower", "как рок и кот", "κύκλος ρο", "k and к", "the kernel of the operator is a power", "ρ is a density"]
+    df = spark.createDataFrame(list(enumerate(docs * 1)), "doc_id long, text string")
+    forms = {r.doc_id: r.consistent for r in lookalike.consistent(df).collect()}
+    assert forms[1] == docs[0] and lookalike.classes(docs[1]) != docs[0]
+    assert all(forms[k] == docs[k] for k in (2, 3, 4, 6))
+    assert sorted(map(tuple, lookalike.same_looking(df).collect())) == [(0, 1), (1, 5)]
+
+
 # --- look-alikes ---------------------------------------------------------------------------------------------------------
 SAME = [("Ｆｕｌｌ１", "Full1"), ("ﬁne", "fine"), ("café", "cafe\u0301"), ("a\u200bb\ufeff", "ab"), ("a\u2007b", "a b"), ("periodiс", "periodic"), ("ѕо", "so"), ("Ηello", "Hello"), ("ё", "е\u0308"), ("ë", "е\u0308"), ("a\r\nb", "a\nb"), ("co\u00adop", "coop"), ("сор", "cop")]
 OTHER = [("A", "a"), ("naive", "naïve"), ("x²", "x2"), ("a b", "ab"), ("л", "n"), ("½", "1/2"), ("O", "0")]
