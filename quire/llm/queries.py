@@ -3,6 +3,7 @@ SQL can express in reasonable time."""
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -143,5 +144,39 @@ SELECT book, chapter, CAST(s AS INTEGER) AS piece_start, CAST(e AS INTEGER) AS p
 P7_ROUND_TRIP = "SELECT doc_id, md5(coalesce(text, '')) AS text_md5, length(coalesce(text, '')) AS chars FROM documents"
 
 
+_WINDOWS = """WITH f AS (SELECT file_id, content FROM source_file QUALIFY row_number() OVER (PARTITION BY file_id ORDER BY loaded_at DESC NULLS LAST) = 1),
+    c AS (SELECT DISTINCT content FROM f WHERE length(content) >= 200),
+    w AS (SELECT content, i, substr(content, i, 200) AS g FROM (SELECT content, unnest(range(1, length(content) - 198)) AS i FROM c))"""
+#: Every window of 200 characters against every other, by equality.
+P4_FOUND = _WINDOWS + """, d AS (SELECT DISTINCT content, g FROM w), two AS (SELECT g FROM d GROUP BY g HAVING count(*) > 1),
+    held AS (SELECT d.content, d.g FROM d JOIN two USING (g)),
+    pair AS (SELECT DISTINCT a.content AS ca, b.content AS cb FROM held a JOIN held b ON a.g = b.g AND a.content <> b.content UNION ALL SELECT content, content FROM c)
+    SELECT DISTINCT x.file_id AS file_id_a, y.file_id AS file_id_b FROM pair JOIN f x ON x.content = ca JOIN f y ON y.content = cb WHERE x.file_id < y.file_id"""
+P4_PORTIONS = _WINDOWS + """, d AS (SELECT DISTINCT content, g FROM w), two AS (SELECT g FROM d GROUP BY g HAVING count(*) > 1),
+    s AS (SELECT content, i, lead(i) OVER (PARTITION BY content ORDER BY i) AS j FROM w JOIN two USING (g)),
+    part AS (SELECT content, sum(least(200, coalesce(j - i, 200))) AS part FROM s GROUP BY content),
+    n AS (SELECT coalesce(content, '') AS content, count(*) AS copies FROM f GROUP BY 1),
+    r AS (SELECT f.file_id, length(coalesce(f.content, '')) AS n_chars, n.copies, CAST(CASE WHEN n.copies > 1 AND length(f.content) >= 200 THEN length(f.content) ELSE coalesce(p.part, 0) END AS BIGINT) AS shared_chars
+          FROM f JOIN n ON n.content = coalesce(f.content, '') LEFT JOIN part p ON p.content = f.content)
+    SELECT file_id, CAST(n_chars AS INTEGER) AS n_chars, copies, shared_chars, CASE WHEN n_chars > 0 THEN round(shared_chars / n_chars, 6) ELSE 0.0 END AS share FROM r"""
+
+
+def _folded() -> str:
+    """SQL that folds every character on its own: what each looks like, composed, from the operator's fixed tables."""
+    rows = []
+    for cp in (*range(0x80, 0xD800), *range(0xF900, 0x10000), *range(0x1D400, 0x1D800)):
+        if 0x3400 <= cp < 0xA000 or 0xAC00 <= cp < 0xD7A4:  # ideographs and syllables are themselves
+            continue
+        to = unicodedata.normalize("NFD", lookalike.classes(chr(cp)))
+        if to != unicodedata.normalize("NFD", chr(cp)) or unicodedata.combining(chr(cp)) == 0 and len(to) > 1:
+            rows.append((cp, to))
+    values = ", ".join("(%d, %s)" % (cp, "'" + to.replace("'", "''").replace("\n", "' || chr(10) || '") + "'") for cp, to in rows)
+    return f"""WITH looks(cp, looks) AS (VALUES {values}),
+    chars AS (SELECT doc_id, unnest(string_split(text, '')) AS ch, generate_subscripts(string_split(text, ''), 1) AS i FROM documents WHERE text <> ''),
+    folded AS (SELECT doc_id, nfc_normalize(string_agg(coalesce(looks, replace(ch, chr(9), ' ')), '' ORDER BY i)) AS form FROM chars LEFT JOIN looks ON cp = unicode(ch) GROUP BY doc_id),
+    t AS (SELECT DISTINCT doc_id, form, text FROM folded JOIN documents USING (doc_id) WHERE trim(form, ' ' || chr(10)) <> '')
+    SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM t a JOIN t b ON a.form = b.form AND a.doc_id < b.doc_id AND a.text <> b.text"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": P2_FOUND, "p7_round_trip": P7_ROUND_TRIP}
+    return {"p2_found": P2_FOUND, "p4_found": P4_FOUND, "p4_portions": P4_PORTIONS, "p7_round_trip": P7_ROUND_TRIP, "p9_found": _folded()}
