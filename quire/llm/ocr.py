@@ -36,7 +36,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -598,11 +597,13 @@ def layout(pages: DataFrame, sections: DataFrame, chapters: DataFrame) -> DataFr
                         mine.add(row[0])
                 order = sorted(parsed.values(), key=lambda x: (x[1] is None, x[1] or 0, x[0]))
                 sheets = lay_out(order, {v[0]: int(v[1:]) for v in offs or ()}, [(t["title"], t["page"]) for t in tts or ()])
-                for k, s in enumerate(sheets):
+                nexts: list[Sheet | None] = [None] * len(sheets)
+                for k in range(len(sheets) - 2, -1, -1):  # a second scan of the same page is no next page: its next one is this one's
+                    same = sheets[k].page is not None and sheets[k + 1].page == sheets[k].page
+                    nexts[k] = nexts[k + 1] if same else sheets[k + 1]
+                for s, follow in zip(sheets, nexts):
                     if s.ocr_id not in mine:
                         continue
-                    # a second scan of the same page is no next page
-                    follow = next((x for x in islice(sheets, k + 1, None) if x.page is None or s.page is None or x.page > s.page), None)
                     tail = None
                     if s.last is not None:
                         toks = s.last[1].split()
